@@ -3,14 +3,18 @@
 A walk keeps only node ids. Every edge of an ego graph touches a node nearer
 than ``hops``, so the edges are fetched once, at the end, and each hop carries
 nothing but a table of new ids. That table is written to the shared folder: the
-plan stays short, and the planner knows the table's size when it chooses between
-a broadcast and a shuffle join. In a shuffle join the edges are the side that
-the adaptive skew join may split, so a hub node is spread over many tasks.
+plan stays short, and the table can be measured.
+
+A table of measured, small size is broadcast, which moves no edge and lets the
+look-up run below the merge of a stored state. Beyond that size the join
+shuffles. The edges are then the side that the adaptive skew join may split, so
+a hub node is spread over many tasks.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from typing import Literal
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,6 +25,11 @@ from bazaargraph.operators.lookup import endpoint_ids, vertices_of
 from bazaargraph.operators.rank import top_edges, top_per_group
 from bazaargraph.workspace import cut
 
+# A table of ids is broadcast up to this size in memory, counting a fixed
+# overhead for each row of the hash table.
+BROADCAST_BYTES = 32 * 1024 * 1024
+ROW_OVERHEAD = 64
+
 Direction = Literal["both", "out", "in"]
 DIRECTIONS = ("both", "out", "in")
 
@@ -43,26 +52,55 @@ def strong_enough(edges: DataFrame, min_score: float | None) -> DataFrame:
     return edges.filter(F.col("score") >= F.lit(float(min_score)))
 
 
-def _touches(ids: Sequence[str], direction: Direction) -> Column:
-    leaving, arriving = F.col("src").isin(*ids), F.col("dst").isin(*ids)
+def _touches(ids: Sequence[str] | DataFrame, direction: Direction) -> Column:
+    leaving = F.col("src").isin(ids) if isinstance(ids, DataFrame) else F.col("src").isin(*ids)
+    arriving = F.col("dst").isin(ids) if isinstance(ids, DataFrame) else F.col("dst").isin(*ids)
     return {"out": leaving, "in": arriving, "both": leaving | arriving}[direction]
 
 
-def _incident(edges: DataFrame, ids: DataFrame, direction: Direction) -> DataFrame:
-    """Incident edges for distinct ``ids``.
+@dataclass(frozen=True)
+class _Ids:
+    """Distinct ids in a stored table, and the memory a broadcast of them takes."""
+
+    table: DataFrame
+    rows: int
+    size: int
+
+    @staticmethod
+    def stored(ids: DataFrame) -> _Ids:
+        table = cut(ids, "ids")
+        rows, length = table.agg(
+            F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("id")), F.lit(0))
+        ).first()
+        return _Ids(table, rows, length + rows * ROW_OVERHEAD)
+
+    @staticmethod
+    def given(spark: SparkSession, ids: Sequence[str]) -> _Ids:
+        size = sum(len(i.encode()) + ROW_OVERHEAD for i in ids)
+        return _Ids(seed_table(spark, ids), len(ids), size)
+
+    def with_new(self, others: _Ids) -> _Ids:
+        """Union with ids known to be different ones."""
+        return _Ids(
+            self.table.unionByName(others.table),
+            self.rows + others.rows,
+            self.size + others.size,
+        )
+
 
-    For both directions each edge is looked up once per end and kept if either
-    lookup hits. That needs one scan and, the ids being distinct, no
-    deduplication; a small id table is broadcast and moves no edge at all.
-    """
-    near_src = ids.select(F.col("id").alias("_src"))
-    near_dst = ids.select(F.col("id").alias("_dst"))
+def _incident(edges: DataFrame, ids: _Ids, direction: Direction) -> DataFrame:
+    """Incident edges. One scan of the edges, and no deduplication."""
+    if ids.size <= BROADCAST_BYTES:
+        return edges.filter(_touches(F.broadcast(ids.table), direction))
+    near_src = ids.table.select(F.col("id").alias("_src"))
+    near_dst = ids.table.select(F.col("id").alias("_dst"))
     at_src = F.col("src") == F.col("_src")
     at_dst = F.col("dst") == F.col("_dst")
     if direction == "out":
         return edges.join(near_src, at_src, "left_semi")
     if direction == "in":
         return edges.join(near_dst, at_dst, "left_semi")
+    # The ids are distinct, so the two look-ups leave one row per edge.
     return (
         edges.join(near_src, at_src, "left")
         .join(near_dst, at_dst, "left")
@@ -76,7 +114,7 @@ def incident_edges(
 ) -> DataFrame:
     """Edges leaving, entering or touching the frontier's ids."""
     _check(direction)
-    return _incident(edges, frontier.select("id").distinct(), direction)
+    return _incident(edges, _Ids.stored(frontier.select("id").distinct()), direction)
 
 
 def _far_ends(direction: Direction) -> Column:
@@ -111,30 +149,34 @@ def _ego(
     """(edges of the ego graph, ids of all nodes it reaches)."""
     _check(direction)
     literal = not isinstance(seeds, DataFrame)
-    seen = seed_table(spark, seeds) if literal else seeds.select("id").distinct()
     if hops <= 0:
-        return edges.limit(0), seen
+        start = seed_table(spark, seeds) if literal else seeds.select("id").distinct()
+        return edges.limit(0), start
 
     pool = strong_enough(edges, min_score)
     pairs = pool.select("src", "dst")
+    if literal:
+        seen = _Ids.given(spark, seeds)
+    else:
+        seen = _Ids.stored(seeds.select("id").distinct())
     frontier = seen
     for hop in range(1, hops):
         if literal and hop == 1:
             incident = pairs.filter(_touches(seeds, direction))
         else:
             incident = _incident(pairs, frontier, direction)
-        frontier = cut(next_frontier(incident, seen, direction), "frontier")
-        if frontier.isEmpty():
+        frontier = _Ids.stored(next_frontier(incident, seen.table, direction))
+        if frontier.rows == 0:
             break
-        seen = seen.unionByName(frontier)
+        seen = seen.with_new(frontier)
 
     # Literal seeds of a single hop become a filter that reaches the scan.
     if literal and hops == 1:
         found = pool.filter(_touches(seeds, direction))
     else:
         found = _incident(pool, seen, direction)
-    reached = endpoint_ids(found).union(seen).distinct()
-    return found, reached
+    ends = found.select(F.explode(F.array("src", "dst")).alias("id"))
+    return found, ends.unionByName(seen.table).distinct()
 
 
 def ego_subgraph(

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,12 +46,13 @@ def decode(messages: DataFrame) -> DataFrame:
     read), ``missing_id`` or ``bad_timestamp`` (text that is not a time).
     """
     text = messages.select(F.col("value").cast("string").alias("raw"))
-    fields = text.select("raw", F.from_json("raw", event_schema()).alias("d")).select(
-        "raw", "d.*"
-    )
+    # A generator hands out the fields. As a plain projection the parser would be
+    # repeated for every field that a later filter on ``defect`` looks at.
+    parsed = F.array(F.from_json("raw", event_schema()))
+    fields = text.select("raw", F.inline(parsed))
     names = event_schema().fieldNames()
     nothing_read = F.coalesce(*(F.col(c).cast("string") for c in names)).isNull()
-    id_missing = ~F.forall(F.array(*ID_COLUMNS), lambda i: i.isNotNull())
+    id_missing = reduce(or_, (F.col(c).isNull() for c in ID_COLUMNS))
     time = F.col("timestamp").try_cast("timestamp")
     defect = (
         F.when(nothing_read, "bad_json")
