@@ -46,10 +46,11 @@ DEFAULT_SNAPSHOT_EVERY = 20
 
 @dataclass(frozen=True)
 class Part:
-    """The aggregates of one applied epoch."""
+    """Aggregates of one epoch, or of all up to it if ``merged``."""
 
     epoch_id: int
     name: str
+    merged: bool = False
 
 
 @dataclass(frozen=True)
@@ -89,12 +90,20 @@ class GraphState:
         path: str,
         weights: Mapping[str, float] = WEIGHTS,
         snapshot_every: int = DEFAULT_SNAPSHOT_EVERY,
+        merge_every: int = 0,
         keep_raw: bool = False,
     ) -> None:
+        """A snapshot follows every ``snapshot_every``-th batch; 0 turns that off.
+
+        A snapshot rewrites the whole state. Where that is large, let
+        ``merge_every`` join the recent partials into one more often, which
+        rewrites only those, and take snapshots seldom.
+        """
         self.spark = spark
         self.path = path.rstrip("/")
         self.weights = dict(weights)
         self.snapshot_every = snapshot_every
+        self.merge_every = merge_every
         self.keep_raw = keep_raw
 
     # -- where things are -------------------------------------------------
@@ -181,8 +190,11 @@ class GraphState:
 
     # -- writing ----------------------------------------------------------
 
-    def _store(self, edges: DataFrame, vertices: DataFrame, epoch_id: int) -> Part:
-        part = Part(epoch_id, f"epoch-{epoch_id}-{uuid4().hex}")
+    def _store(
+        self, edges: DataFrame, vertices: DataFrame, epoch_id: int, merged: bool = False
+    ) -> Part:
+        kind = "merged" if merged else "epoch"
+        part = Part(epoch_id, f"{kind}-{epoch_id}-{uuid4().hex}", merged)
         moment = F.col("last_interaction").cast("timestamp")
         edges.withColumn("last_interaction", moment).write.parquet(
             f"{self.path}/edges/{part.name}"
@@ -199,7 +211,8 @@ class GraphState:
                 "was the stream started without its checkpoint?"
             )
         repeated = before.batch_count > 0 and epoch_id == before.last_epoch_id
-        if repeated and before.snapshot and before.snapshot.epoch_id == epoch_id:
+        if repeated and epoch_id not in {p.epoch_id for p in before.parts if not p.merged}:
+            # Already part of a snapshot or merge: nothing is left to replace.
             return
 
         if self.keep_raw:
@@ -222,19 +235,31 @@ class GraphState:
         self._commit(after)
         if self.snapshot_every > 0 and after.batch_count % self.snapshot_every == 0:
             self.snapshot()
+        elif self.merge_every > 0 and after.batch_count % self.merge_every == 0:
+            self.merge_parts()
 
-    def snapshot(self) -> None:
-        """Merge the state into one folder each for edges and vertices.
+    def _merged(self, manifest: Manifest) -> Part:
+        """One folder each for the edges and vertices of what a manifest names.
 
         Edges are sorted by source inside each file, so a look-up by source reads
         few row groups.
         """
-        manifest = self.manifest()
-        if not manifest.parts:
-            return
-        part = self._store(
+        return self._store(
             with_score(self._counts(manifest), self.weights).sortWithinPartitions("src", "dst"),
             self._latest(manifest).sortWithinPartitions("id"),
             manifest.last_epoch_id,
+            merged=True,
         )
-        self._commit(replace(manifest, snapshot=part, parts=()))
+
+    def snapshot(self) -> None:
+        """Merge the whole state into a new snapshot."""
+        manifest = self.manifest()
+        if manifest.parts:
+            self._commit(replace(manifest, snapshot=self._merged(manifest), parts=()))
+
+    def merge_parts(self) -> None:
+        """Merge the partials since the snapshot into one and leave the snapshot alone."""
+        manifest = self.manifest()
+        if len(manifest.parts) > 1:
+            recent = self._merged(replace(manifest, snapshot=None))
+            self._commit(replace(manifest, parts=(recent,)))
