@@ -46,4 +46,7 @@ def test_query_equals_sql(spark, duck, name):
     found = result.toPandas()
     assert sorted(found.columns) == sorted(expected.columns)
     assert len(found) > 0
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    for unwanted in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python"):
+        assert unwanted not in plan
     assert normal(found) == normal(expected)
