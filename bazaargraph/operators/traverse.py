@@ -23,12 +23,7 @@ from pyspark.sql import functions as F
 from bazaargraph.functions.columns import strongest_first
 from bazaargraph.operators.lookup import endpoint_ids, vertices_of
 from bazaargraph.operators.rank import top_edges, top_per_group
-from bazaargraph.workspace import cut
-
-# A table of ids is broadcast up to this size in memory, counting a fixed
-# overhead for each row of the hash table.
-BROADCAST_BYTES = 32 * 1024 * 1024
-ROW_OVERHEAD = 64
+from bazaargraph.workspace import ROW_OVERHEAD, cut, fits_broadcast, measure
 
 Direction = Literal["both", "out", "in"]
 DIRECTIONS = ("both", "out", "in")
@@ -69,10 +64,7 @@ class _Ids:
     @staticmethod
     def stored(ids: DataFrame) -> _Ids:
         table = cut(ids, "ids")
-        rows, length = table.agg(
-            F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("id")), F.lit(0))
-        ).first()
-        return _Ids(table, rows, length + rows * ROW_OVERHEAD)
+        return _Ids(table, *measure(table, "id"))
 
     @staticmethod
     def given(spark: SparkSession, ids: Sequence[str]) -> _Ids:
@@ -90,7 +82,7 @@ class _Ids:
 
 def _incident(edges: DataFrame, ids: _Ids, direction: Direction) -> DataFrame:
     """Incident edges. One scan of the edges, and no deduplication."""
-    if ids.size <= BROADCAST_BYTES:
+    if fits_broadcast(ids.size):
         return edges.filter(_touches(F.broadcast(ids.table), direction))
     near_src = ids.table.select(F.col("id").alias("_src"))
     near_dst = ids.table.select(F.col("id").alias("_dst"))

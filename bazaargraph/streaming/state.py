@@ -17,7 +17,7 @@ readers that may still use them; removing them is up to the owner.
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import asdict, dataclass, field, replace
 from uuid import uuid4
 
@@ -39,18 +39,33 @@ from bazaargraph.schemas import (
     raw_vertices_schema,
 )
 from bazaargraph.sources.sinks import append_raw_edges, append_raw_vertices
-from bazaargraph.workspace import ensure_table, exists, read_table, read_text, replace_text
+from bazaargraph.workspace import (
+    ensure_table,
+    exists,
+    fits_broadcast,
+    measure,
+    read_table,
+    read_text,
+    replace_text,
+)
 
 DEFAULT_SNAPSHOT_EVERY = 20
 
+Merge = Callable[[DataFrame], DataFrame]
+
 
 @dataclass(frozen=True)
 class Part:
-    """Aggregates of one epoch, or of all up to it if ``merged``."""
+    """Aggregates of one epoch, or of all up to it if ``merged``.
+
+    The sizes say what a broadcast of the folder's keys would take.
+    """
 
     epoch_id: int
     name: str
-    merged: bool = False
+    merged: bool
+    edge_key_size: int
+    vertex_key_size: int
 
 
 @dataclass(frozen=True)
@@ -146,35 +161,58 @@ class GraphState:
             base.add(StructField(action, LongType()))
         return base
 
-    def _paths(self, kind: str, manifest: Manifest) -> list[str]:
-        parts = [manifest.snapshot] if manifest.snapshot else []
-        return [f"{self.path}/{kind}/{part.name}" for part in (*parts, *manifest.parts)]
-
-    def _read(self, kind: str, manifest: Manifest, schema: StructType) -> DataFrame:
-        paths = self._paths(kind, manifest)
-        if not paths:
+    def _read(self, kind: str, parts: Sequence[Part]) -> DataFrame:
+        schema = self._edge_schema() if kind == "edges" else raw_vertices_schema()
+        if not parts:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*paths)
+        return self.spark.read.schema(schema).parquet(
+            *(f"{self.path}/{kind}/{part.name}" for part in parts)
+        )
+
+    def _combined(
+        self, kind: str, manifest: Manifest, keys: list[str], merge: Merge
+    ) -> DataFrame:
+        """One row per key from the snapshot and the partials after it.
+
+        A single folder has one row per key: a plain scan, no shuffle. Few recent
+        keys are broadcast, and only their rows are merged; the rest of the
+        snapshot passes through. Otherwise everything is merged by its key.
+        """
+        parts = manifest.parts
+        base = [manifest.snapshot] if manifest.snapshot else []
+        if len(base) + len(parts) <= 1:
+            return self._read(kind, [*base, *parts])
+        recent = self._read(kind, parts)
+        size = sum(
+            part.edge_key_size if kind == "edges" else part.vertex_key_size for part in parts
+        )
+        if not base or not fits_broadcast(size):
+            return merge(self._read(kind, [*base, *parts]))
+        snapshot = self._read(kind, base)
+        touched = F.broadcast(recent.select(*keys).distinct())
+        return snapshot.join(touched, keys, "left_anti").unionByName(
+            merge(snapshot.join(touched, keys, "left_semi").unionByName(recent))
+        )
 
     def _counts(self, manifest: Manifest) -> DataFrame:
-        stored = self._read("edges", manifest, self._edge_schema())
-        if len(self._paths("edges", manifest)) == 1:
-            # A single folder has one row per edge: a plain scan, no shuffle. An
-            # action without a column in an old folder was never counted.
-            return stored.fillna(0, subset=list(self.weights))
-        return merge_edge_partials(stored, self.weights)
+        def merge(partials: DataFrame) -> DataFrame:
+            return merge_edge_partials(partials, self.weights)
+
+        combined = self._combined("edges", manifest, ["src", "dst"], merge)
+        # An action without a column in an old folder was never counted.
+        return combined.fillna(0, subset=list(self.weights))
 
     def _latest(self, manifest: Manifest) -> DataFrame:
-        stored = self._read("vertices", manifest, raw_vertices_schema())
-        if len(self._paths("vertices", manifest)) == 1:
-            return stored
-        return latest_vertices(stored)
+        return self._combined("vertices", manifest, ["id"], latest_vertices)
 
-    def load(self) -> tuple[DataFrame, DataFrame]:
+    def load(self, persist: bool = False) -> tuple[DataFrame, DataFrame]:
         """(edges, vertices) as of the last committed epoch."""
         manifest = self.manifest()
         edges = with_score(self._counts(manifest), self.weights)
-        return edges, self._latest(manifest).select("id", "type")
+        vertices = self._latest(manifest).select("id", "type")
+        if persist:
+            return edges.persist(), vertices.persist()
+        return edges, vertices
 
     def raw_log(self) -> tuple[DataFrame, DataFrame]:
         """(raw edges, raw vertices); empty tables when nothing was logged."""
@@ -193,14 +231,17 @@ class GraphState:
     def _store(
         self, edges: DataFrame, vertices: DataFrame, epoch_id: int, merged: bool = False
     ) -> Part:
-        kind = "merged" if merged else "epoch"
-        part = Part(epoch_id, f"{kind}-{epoch_id}-{uuid4().hex}", merged)
+        name = f"{'merged' if merged else 'epoch'}-{epoch_id}-{uuid4().hex}"
         moment = F.col("last_interaction").cast("timestamp")
-        edges.withColumn("last_interaction", moment).write.parquet(
-            f"{self.path}/edges/{part.name}"
+        edges = edges.withColumn("last_interaction", moment)
+        edges.write.parquet(f"{self.path}/edges/{name}")
+        vertices.write.parquet(f"{self.path}/vertices/{name}")
+        part = Part(epoch_id, name, merged, 0, 0)
+        return replace(
+            part,
+            edge_key_size=measure(self._read("edges", [part]), "src", "dst")[1],
+            vertex_key_size=measure(self._read("vertices", [part]), "id")[1],
         )
-        vertices.write.parquet(f"{self.path}/vertices/{part.name}")
-        return part
 
     def apply_batch(self, vertices: DataFrame, edges: DataFrame, epoch_id: int) -> None:
         """Add one non-empty batch graph; every n-th batch also writes a snapshot."""

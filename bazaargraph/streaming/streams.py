@@ -32,17 +32,18 @@ def make_batch_processor(
     handler = on_graph or show_popular_products
 
     def process(decoded: DataFrame, epoch_id: int) -> None:
-        decoded.persist()
+        batch = decoded if quarantine_path is not None else decoded.drop("raw")
+        batch.persist()
         try:
             if quarantine_path is not None:
-                rejected = quarantined(decoded).write.mode("overwrite")
+                rejected = quarantined(batch).write.mode("overwrite")
                 rejected.parquet(f"{quarantine_path}/epoch_id={epoch_id}")
-            events = accepted(decoded)
+            events = accepted(batch)
             if not events.isEmpty():
                 vertices, edges = build_graph(events)
                 handler(vertices, edges, epoch_id)
         finally:
-            decoded.unpersist()
+            batch.unpersist()
 
     return process
 

@@ -6,8 +6,14 @@ import tempfile
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+# Keys are broadcast up to this size in memory, counting a fixed overhead for
+# each row of the hash table.
+BROADCAST_BYTES = 32 * 1024 * 1024
+ROW_OVERHEAD = 64
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
@@ -47,6 +53,19 @@ def cut(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def measure(stored: DataFrame, *keys: str) -> tuple[int, int]:
+    """(rows, bytes a broadcast of the key columns takes) of a stored table."""
+    length = sum((F.octet_length(key) for key in keys), F.lit(0))
+    rows, text = stored.agg(
+        F.count(F.lit(1)), F.coalesce(F.sum(F.coalesce(length, F.lit(0))), F.lit(0))
+    ).first()
+    return rows, text + rows * ROW_OVERHEAD
+
+
+def fits_broadcast(size: int) -> bool:
+    return size <= BROADCAST_BYTES
+
+
 def _filesystem(spark: SparkSession, path: str):
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()), jvm_path
@@ -58,7 +77,12 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def read_text(spark: SparkSession, path: str) -> str:
-    return spark.read.text(path, wholetext=True).first()[0]
+    fs, jvm_path = _filesystem(spark, path)
+    stream = fs.open(jvm_path)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
 
 
 def replace_text(spark: SparkSession, path: str, text: str) -> None:

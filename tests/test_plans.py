@@ -5,6 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from bazaargraph import workspace
 from bazaargraph.operators import build, fold, lookup, rank, traverse
 from bazaargraph.operators.windows import window_revenue
 from bazaargraph.sources import events as sources
@@ -114,7 +115,7 @@ def test_one_node_is_looked_up_by_a_pushed_filter(state):
     edges, vertices = state.load()
     found, _ = traverse.node_neighbors("usr_7", edges, vertices, hops=1)
     text = plan(found)
-    assert "Join" not in text
+    assert "ExistenceJoin" not in text and "SortMergeJoin" not in text
     assert "PushedFilters: [Or(EqualTo(src,usr_7),EqualTo(dst,usr_7))]" in text
     selected, _ = traverse.edge_context("usr_7", _any_product(edges), edges, vertices, hops=0)
     assert "EqualTo(src,usr_7)" in plan(selected)
@@ -128,9 +129,27 @@ def test_small_frontier_is_broadcast_below_the_merge(state):
     edges, vertices = state.load()
     found, _ = traverse.node_neighbors("usr_7", edges, vertices, hops=2)
     text = plan(found)
-    assert text.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in text
-    assert text.index("HashAggregate") < text.index("BroadcastHashJoin")
-    assert len(re.findall(r"FileScan parquet \[src", text)) == 1
+    assert text.count("ExistenceJoin") > 0 and "SortMergeJoin" not in text
+    # The merge comes after the look-up: it sees only edges near the node.
+    assert text.index("HashAggregate") < text.rindex("ExistenceJoin")
+
+
+def test_few_recent_edges_leave_the_snapshot_in_place(state):
+    edges, _ = state.load()
+    text = plan(rank.top_edges(edges, 10))
+    anti = text[text.index("LeftAnti") :]
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+    # The untouched part of the snapshot is scanned where it lies.
+    first_scan = anti[: anti.index("BroadcastExchange")]
+    assert "FileScan" in first_scan and "hashpartitioning" not in first_scan
+
+
+def test_many_recent_edges_are_merged_by_key(state, monkeypatch):
+    few = rows(state.load()[0])
+    monkeypatch.setattr(workspace, "BROADCAST_BYTES", -1)
+    edges, vertices = state.load()
+    assert "Join" not in plan(edges) and "Join" not in plan(vertices)
+    assert rows(edges) == few
 
 
 def hub_edges(spark, n=60_000):
@@ -159,7 +178,7 @@ SPLIT_EARLY = {
 @pytest.mark.parametrize("direction", ["in", "both"])
 def test_hub_is_split_in_a_shuffle_join(spark, settings, monkeypatch, direction):
     settings(SPLIT_EARLY)
-    monkeypatch.setattr(traverse, "BROADCAST_BYTES", -1)
+    monkeypatch.setattr(workspace, "BROADCAST_BYTES", -1)
     edges = hub_edges(spark)
     products = edges.select(F.col("dst").alias("id"))
     found = traverse.incident_edges(edges, products, direction)

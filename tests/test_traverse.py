@@ -4,6 +4,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from bazaargraph import workspace
 from bazaargraph.operators import lookup, rank, traverse
 from fixtures import at, rows
 
@@ -33,7 +34,7 @@ def vertices(spark):
 def join(request, monkeypatch, spark):
     """Both ways of looking up incident edges."""
     if request.param == "shuffle":
-        monkeypatch.setattr(traverse, "BROADCAST_BYTES", -1)
+        monkeypatch.setattr(workspace, "BROADCAST_BYTES", -1)
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
         yield request.param
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
