@@ -48,8 +48,9 @@ def strong_enough(edges: DataFrame, min_score: float | None) -> DataFrame:
 
 
 def _touches(ids: Sequence[str] | DataFrame, direction: Direction) -> Column:
-    leaving = F.col("src").isin(ids) if isinstance(ids, DataFrame) else F.col("src").isin(*ids)
-    arriving = F.col("dst").isin(ids) if isinstance(ids, DataFrame) else F.col("dst").isin(*ids)
+    """Edge condition for literal ids or, as a subquery, for a table of ids."""
+    among = ids if isinstance(ids, DataFrame) else list(ids)
+    leaving, arriving = F.col("src").isin(among), F.col("dst").isin(among)
     return {"out": leaving, "in": arriving, "both": leaving | arriving}[direction]
 
 

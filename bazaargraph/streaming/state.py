@@ -58,14 +58,15 @@ Merge = Callable[[DataFrame], DataFrame]
 class Part:
     """Aggregates of one epoch, or of all up to it if ``merged``.
 
-    The sizes say what a broadcast of the folder's keys would take.
+    The sizes say what a broadcast of the folder's keys would take. A snapshot
+    has none: its keys are never broadcast.
     """
 
     epoch_id: int
     name: str
-    merged: bool
-    edge_key_size: int
-    vertex_key_size: int
+    merged: bool = False
+    edge_key_size: int | None = None
+    vertex_key_size: int | None = None
 
 
 @dataclass(frozen=True)
@@ -236,7 +237,9 @@ class GraphState:
         edges = edges.withColumn("last_interaction", moment)
         edges.write.parquet(f"{self.path}/edges/{name}")
         vertices.write.parquet(f"{self.path}/vertices/{name}")
-        part = Part(epoch_id, name, merged, 0, 0)
+        return Part(epoch_id, name, merged)
+
+    def _measured(self, part: Part) -> Part:
         return replace(
             part,
             edge_key_size=measure(self._read("edges", [part]), "src", "dst")[1],
@@ -271,7 +274,7 @@ class GraphState:
             before,
             batch_count=before.batch_count + (0 if repeated else 1),
             last_epoch_id=epoch_id,
-            parts=(*kept, part),
+            parts=(*kept, self._measured(part)),
         )
         self._commit(after)
         if self.snapshot_every > 0 and after.batch_count % self.snapshot_every == 0:
@@ -303,4 +306,4 @@ class GraphState:
         manifest = self.manifest()
         if len(manifest.parts) > 1:
             recent = self._merged(replace(manifest, snapshot=None))
-            self._commit(replace(manifest, parts=(recent,)))
+            self._commit(replace(manifest, parts=(self._measured(recent),)))

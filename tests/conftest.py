@@ -13,7 +13,8 @@ from bazaargraph.session import SPARK_CONF  # noqa: E402
 def spark():
     builder = (
         SparkSession.builder.master("local[*]")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.default.parallelism", "2")
         .config("spark.ui.enabled", "false")
     )
     for key, value in SPARK_CONF.items():

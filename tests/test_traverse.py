@@ -173,7 +173,7 @@ nodes = st.sampled_from([f"n{i}" for i in range(8)])
 graphs = st.dictionaries(st.tuples(nodes, nodes), st.integers(0, 9).map(float), min_size=1, max_size=20)
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
 @given(
     scores=graphs,
     hops=st.integers(1, 3),
