@@ -59,6 +59,8 @@ GRAPH = EDGES + f",\nst AS ({_state('ed')})" + VERTICES
 
 STRONGEST = "score DESC, last_interaction DESC NULLS LAST, src, dst"
 
+WEAKEST = "score, src, dst"
+
 BEST = f",\nbest AS (SELECT * FROM st ORDER BY {STRONGEST} LIMIT 100)"
 
 ENDS = ",\nbest_ids AS (SELECT src AS id FROM best UNION SELECT dst FROM best)"
@@ -126,9 +128,14 @@ def _ego_vertices(**walk) -> str:
     return _with(_node(**walk), "SELECT * FROM vt WHERE id IN (SELECT id FROM seen)")
 
 
-def _context(hops: int, limit: int | None = None, min_score: float = 0) -> str:
-    """``ctx``: what is kept around the strongest edge."""
-    chosen = f",\nchosen AS (SELECT * FROM st ORDER BY {STRONGEST} LIMIT 1)"
+def _context(
+    hops: int,
+    limit: int | None = None,
+    min_score: float = 0,
+    first: str = STRONGEST,
+) -> str:
+    """``ctx``: what is kept around the first edge of an order."""
+    chosen = f",\nchosen AS (SELECT * FROM st ORDER BY {first} LIMIT 1)"
     seeds = "SELECT src AS id FROM chosen UNION SELECT dst FROM chosen"
     cap = "" if limit is None else f" ORDER BY pin DESC, {STRONGEST} LIMIT {limit}"
     kept = f""",
@@ -299,6 +306,7 @@ roles AS (
 )""",
         LAST_TYPE,
     ),
+    "strong_edges": _with(GRAPH, "SELECT * FROM st WHERE score >= 20"),
     "best_edges": _with(GRAPH + BEST, "SELECT * FROM best"),
     "best_edge_vertices": _with(
         GRAPH + BEST_IDS, "SELECT * FROM vt WHERE id IN (SELECT id FROM best_ids)"
@@ -342,6 +350,13 @@ roles AS (
     "edge_context_h2": _with(_context(2, min_score=20), CONTEXT_EDGES),
     "edge_context_capped": _with(_context(1, limit=10), CONTEXT_EDGES),
     "edge_context_capped_vertices": _with(_context(1, limit=10), CONTEXT_VERTICES),
+    "edge_context_weakest": _with(_context(1, limit=10, first=WEAKEST), CONTEXT_EDGES),
+    "edge_context_weakest_vertices": _with(
+        _context(1, limit=10, first=WEAKEST), CONTEXT_VERTICES
+    ),
+    "edge_context_below_min_score": _with(
+        _context(2, min_score=40, first=WEAKEST), CONTEXT_EDGES
+    ),
     "id_search": _with(
         EVENTS + VERTICES,
         f"SELECT * FROM vt WHERE starts_with(lower(id), '{PREFIX.strip().lower()}')"

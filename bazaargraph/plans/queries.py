@@ -160,6 +160,11 @@ def vertex_state_mixed_roles(spark, sf_dir):
     return fold.vertex_state(build.batch_vertices(events, by=["epoch_id"]))
 
 
+@query
+def strong_edges(spark, sf_dir):
+    return traverse.strong_enough(_graph(spark, sf_dir)[0], 20)
+
+
 @query
 def best_edges(spark, sf_dir):
     edges, vertices = _graph(spark, sf_dir)
@@ -273,15 +278,19 @@ def multi_seed_ego_h2(spark, sf_dir):
     return _zoneless(traverse.ego_per_seed(seeds, edges, vertices, hops=2)[0])
 
 
-def _context(name, what, **arguments):
-    """Context of the strongest edge."""
+def _context(name, what, strongest=True, **arguments):
+    """Context of the strongest edge, or of the weakest, which only a cap's pin keeps."""
 
     def run(spark, sf_dir):
         edges, vertices = _stored(spark, sf_dir)
-        best = rank.top_edges(edges, 1).select("src", "dst").first()
-        if best is None:
+        if strongest:
+            ranked = rank.top_edges(edges, 1)
+        else:
+            ranked = edges.orderBy("score", "src", "dst").limit(1)
+        edge = ranked.select("src", "dst").first()
+        if edge is None:
             return _zoneless((edges, vertices)[("edges", "vertices").index(what)].limit(0))
-        found = traverse.edge_context(best.src, best.dst, edges, vertices, **arguments)
+        found = traverse.edge_context(edge.src, edge.dst, edges, vertices, **arguments)
         return _zoneless(found[("edges", "vertices").index(what)])
 
     run.__name__ = name
@@ -293,6 +302,9 @@ _context("edge_context_vertices", "vertices", hops=1)
 _context("edge_context_h2", "edges", hops=2, min_score=20)
 _context("edge_context_capped", "edges", hops=1, max_edges=10)
 _context("edge_context_capped_vertices", "vertices", hops=1, max_edges=10)
+_context("edge_context_weakest", "edges", strongest=False, hops=1, max_edges=10)
+_context("edge_context_weakest_vertices", "vertices", strongest=False, hops=1, max_edges=10)
+_context("edge_context_below_min_score", "edges", strongest=False, hops=2, min_score=40)
 
 
 # -- look-ups and reports ---------------------------------------------------

@@ -21,7 +21,9 @@ def _action() -> F.Column:
 
 
 def _mapped(log: DataFrame) -> DataFrame:
-    product = F.get_json_object("props", "$.k").cast("long")
+    # ``props`` is flat, {"k": number}. A pattern reads it several times faster
+    # than a JSON parser, which would take most of the time of every query.
+    product = F.regexp_extract("props", r'"k"\s*:\s*(\d+)', 1).try_cast("long")
     return log.select(
         F.col("ts").alias("timestamp"),
         F.col("user_id").alias("_user"),
