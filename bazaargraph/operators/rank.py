@@ -37,23 +37,26 @@ def top_per_group(
 ) -> DataFrame:
     """The first k rows of every group, also when one group holds most rows.
 
-    A group is first cut into slices by a hash of the ``spread`` columns. The
-    best k of each slice contain the best k of the group, so no task ever sorts
-    a whole group.
+    Up to a limit on k, Spark keeps only k rows of a group in each task before it
+    shuffles. Beyond it, groups are first cut into slices by a hash of the
+    ``spread`` columns: the best k of each slice contain the best k of the group.
+    Either way no task has to sort a whole group.
     """
     _check(k)
-    slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    piece = F.pmod(F.xxhash64(*spread), F.lit(slices)).alias("_slice")
-    in_slice = Window.partitionBy(*group, "_slice").orderBy(*order)
-    in_group = Window.partitionBy(*group).orderBy(*order)
-    return (
-        df.select("*", piece)
-        .withColumn("_rank", F.row_number().over(in_slice))
-        .filter(F.col("_rank") <= k)
-        .withColumn("_rank", F.row_number().over(in_group))
-        .filter(F.col("_rank") <= k)
-        .drop("_rank", "_slice")
-    )
+    conf = df.sparkSession.conf
+    columns = df.columns
+    if k > int(conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")):
+        slices = int(conf.get("spark.sql.shuffle.partitions"))
+        piece = F.pmod(F.xxhash64(*spread), F.lit(slices))
+        df = _first_rows(df.withColumn("_slice", piece), [*group, "_slice"], order, k)
+    return _first_rows(df, group, order, k).select(columns)
+
+
+def _first_rows(
+    df: DataFrame, group: Sequence[str], order: Sequence[Column], k: int
+) -> DataFrame:
+    rank = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
+    return df.withColumn("_rank", rank).filter(F.col("_rank") <= k).drop("_rank")
 
 
 def best_edges(

@@ -193,12 +193,19 @@ def test_walk_through_a_hub_is_whole(spark, settings):
     assert found.count() == 20_000 and reached.count() == 20_001
 
 
-def test_cap_per_seed_with_a_hub(spark):
+@pytest.mark.parametrize("limit", [1000, 0])
+def test_top_per_group_with_a_hub(spark, settings, limit):
+    """Cut early by Spark itself, or in slices where k is beyond its limit."""
+    settings({"spark.sql.optimizer.windowGroupLimitThreshold": str(limit)})
     edges = hub_edges(spark)
     order = [F.col("score").desc(), F.col("src")]
     top = rank.top_per_group(edges, ["dst"], order, 2, spread=["src"])
     text = plan(top)
-    assert text.count("WindowGroupLimit") == 4
+    if limit:
+        assert text.count("Exchange") == 1 and text.count("WindowGroupLimit") == 2
+    else:
+        assert text.count("Exchange") == 2 and "_slice" in text
+    assert top.columns == edges.columns
     best = rows(top.filter("dst = 'p0'"), "src", "score")
     sixes = sorted(f"u{i}" for i in range(0, 60_000, 3) if i % 7 == 6)[:2]
     assert best == [(u, 6.0) for u in sixes]
