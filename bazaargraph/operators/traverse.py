@@ -36,7 +36,7 @@ def _check(direction: str) -> None:
 
 def seed_table(spark: SparkSession, ids: Sequence[str]) -> DataFrame:
     """One ``id`` column of given values, each once."""
-    values = F.array(*(F.lit(i) for i in dict.fromkeys(ids)))
+    values = F.array(*(F.lit(i) for i in dict.fromkeys(ids))).cast("array<string>")
     return spark.range(1).select(F.explode(values).alias("id"))
 
 

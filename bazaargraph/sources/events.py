@@ -12,14 +12,22 @@ from bazaargraph.schemas import ID_COLUMNS, event_schema
 
 
 def kafka_stream(
-    spark: SparkSession, bootstrap: str, topic: str, starting_offsets: str = "latest"
+    spark: SparkSession,
+    bootstrap: str,
+    topic: str,
+    starting_offsets: str = "latest",
+    **options: str,
 ) -> DataFrame:
-    """Kafka messages with their JSON in ``value``. Needs Spark's Kafka connector."""
+    """Kafka messages with their JSON in ``value``. Needs Spark's Kafka connector.
+
+    ``options`` go to the source, for instance ``maxOffsetsPerTrigger``.
+    """
     return (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", bootstrap)
         .option("subscribe", topic)
         .option("startingOffsets", starting_offsets)
+        .options(**options)
         .load()
     )
 

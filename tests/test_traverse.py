@@ -121,6 +121,11 @@ def test_several_seeds_make_one_graph(spark, edges, vertices):
     assert names(traverse.ego_subgraph(spark, table, edges, vertices, hops=1)) == names(found)
 
 
+def test_no_seeds(spark, edges, vertices):
+    found = traverse.ego_subgraph(spark, [], edges, vertices, hops=2)
+    assert names(found) == (set(), set())
+
+
 def test_best_edges(edges, vertices):
     best = rank.best_edges(edges, vertices, 2)
     assert names(best) == (words("u1p1 u2p1"), words("u1 u2 p1"))
@@ -173,7 +178,7 @@ nodes = st.sampled_from([f"n{i}" for i in range(8)])
 graphs = st.dictionaries(st.tuples(nodes, nodes), st.integers(0, 9).map(float), min_size=1, max_size=20)
 
 
-@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
 @given(
     scores=graphs,
     hops=st.integers(1, 3),
