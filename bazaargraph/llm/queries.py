@@ -131,12 +131,12 @@ _LICENSE_SQL = f"""
 WITH texts AS (
   SELECT doc_id, regexp_extract_all({_lowered("coalesce(text, '')")}, '{license_scan.WORD}') AS w
   FROM documents),
-templates(template, label, base, pairs, at, first, second) AS (VALUES {_template_rows()}),
+templates(template, label, base, pairs, spot, first, second) AS (VALUES {_template_rows()}),
 grams AS (
   SELECT doc_id, unnest(w) AS a, unnest(w[2:]) AS b, unnest(range(len(w))) AS place FROM texts),
 votes AS (
-  SELECT doc_id, template, label, base, pairs, place - at AS diagonal,
-    bit_or(1::BIGINT << at) AS votes, min(place) AS low, max(place) AS high
+  SELECT doc_id, template, label, base, pairs, place - spot AS diagonal,
+    bit_or(1::BIGINT << spot) AS votes, min(place) AS low, max(place) AS high
   FROM grams JOIN templates ON a = first AND b = second GROUP BY ALL),
 opened AS (
   SELECT *, CASE WHEN diagonal - lag(diagonal) OVER o <= {license_scan.NEIGHBOURS}
