@@ -7,17 +7,17 @@ opened, and pairs compared, only for queries that pass this bound.
 
 Which groups meet at all is found from prefixes: in any fixed order of all
 tokens, two linked documents share a token among the first ``n - ceil(0.8 n) + 1``
-of each. The order is by hash, with tokens that are frequent in a bounded sample
-last, so that a passage shared by a third of all documents brings no two of them
-together unless it makes up most of both. The order decides only how much work
-there is: any order gives the same links.
-
-Steps: (1) one pass over the texts hashes the shingles and keeps, per document,
-its set's size and digest, and its prefix; (2) documents with equal sets fall into
-one class; (3) prefix tokens of a single document are dropped; (4) a document's
-group is its most shared prefix token, large groups being split by hash;
-(5) pairs of groups that share prefix tokens, and groups with such tokens inside,
-are opened; (6) links become connected components.
+of each. The order is by hash, with frequent tokens last: those found often in a
+bounded sample, and those counted often at the front of all documents' sets. So a
+passage that many documents share brings no two of them together unless it makes up
+most of both. The order decides only how much work there is: any order gives the
+same links.
+
+Steps: (1) frequent tokens are found; (2) documents with equal sets fall into one
+class; (3) prefix tokens of a single document are dropped; (4) a document's group is
+its most shared prefix token, large groups being split by hash; (5) groups that share
+prefix tokens meet, and those members whose prefixes leave room for a partner stay;
+(6) meeting groups are opened, under the bound; (7) links become connected components.
 
 Null texts, empty texts and texts without words have an empty set and link with
 nothing. Rows with a null doc_id link with nothing and have no component. Rows
@@ -36,17 +36,18 @@ from bazaargraph.llm.components import connected_components
 from bazaargraph.llm.shingles import WordHasher, mix, overlap, shingle_sets
 from bazaargraph.workspace import cut
 
-SAMPLE = 8192  # documents whose token counts set the order
+SAMPLE = 4096  # documents whose token counts set the order
 HEAVY_AT = 3  # a token of so many sampled documents is frequent
-HEAVY_MAX = 1 << 20  # frequent tokens kept at most (8 MB); others stay in hash order
-GROUP = 512  # documents of a group
+COMMON_AT = 8  # and so is one at the front of so many of all documents
+FRONT = 0.3  # share of a set, in order, whose tokens are counted
+HEAVY_MAX = 1 << 19  # frequent tokens of either kind at most (4 MB); others stay in hash order
+GROUP = 2048  # documents of a group
 BUCKET = 100_000  # prefix tokens of a bucket
+BYTES = 6  # of a word and a blank, about
 OPENED = 2_000  # documents that a task opens at a time
 SLICE = 1_000  # documents hashed at a time
 
-_SCANNED = (
-    "doc_id long, n int, h1 long, h2 long, bucket int, tokens binary, docs binary, places binary"
-)
+_PACKED = "bucket int, tokens binary, docs binary, places binary"
 
 
 def _signed(x: np.ndarray) -> np.ndarray:
@@ -77,34 +78,77 @@ def _sampled_tokens(batches):
             yield pa.record_batch([pa.array(_signed(tokens))], names=["token"])
 
 
-def _heavy_tokens(docs: DataFrame) -> tuple[np.ndarray, int]:
-    """(frequent tokens, sorted; estimated number of prefix tokens in all)."""
-    rows = docs.count()
+def _top(counts: DataFrame) -> np.ndarray:
+    """The most frequent of (token, n), sorted; at most ``HEAVY_MAX``."""
+    top = counts.orderBy(F.desc("n"), "token").limit(HEAVY_MAX).select("token").toPandas()
+    return np.sort(top["token"].to_numpy(np.int64).view(np.uint64))
+
+
+def _fronts(heavy, buckets: int):
+    """Counts of the tokens at the front of the sets of a batch, packed by bucket."""
+
+    def run(batches):
+        hasher = WordHasher()
+        for batch in batches:
+            found = [np.zeros(0, np.uint64)]
+            for _, texts in _texts(batch):
+                for tokens in shingle_sets(texts, hasher):
+                    found.append(ordered_prefix(tokens, heavy.value, FRONT)[0])
+            tokens, counts = np.unique(np.concatenate(found), return_counts=True)
+            where = (tokens >> np.uint64(32)).astype(np.int64) * buckets >> 32
+            cuts = np.flatnonzero(np.diff(where)) + 1
+            columns = [
+                pa.array([x.tobytes() for x in np.split(values, cuts)], pa.binary())
+                for values in (tokens, counts.astype(np.int32))
+            ]
+            numbers = pa.array([int(x[0]) for x in np.split(where, cuts) if len(x)], pa.int32())
+            if len(tokens):
+                yield pa.RecordBatch.from_arrays(
+                    [numbers, *columns], names=["bucket", "tokens", "counts"]
+                )
+
+    return run
+
+
+def _common_in_bucket(rows: pd.DataFrame) -> pd.DataFrame:
+    tokens = np.frombuffer(b"".join(rows["tokens"]), np.int64)
+    counts = np.frombuffer(b"".join(rows["counts"]), np.int32)
+    turn = np.argsort(tokens, kind="stable")
+    tokens, starts = np.unique(tokens[turn], return_index=True)
+    n = np.add.reduceat(counts[turn].astype(np.int64), starts)
+    return pd.DataFrame({"token": tokens[n >= COMMON_AT], "n": n[n >= COMMON_AT]})
+
+
+def _frequent_tokens(docs: DataFrame) -> tuple[np.ndarray, int]:
+    """(frequent tokens, sorted; number of buckets for prefix tokens)."""
+    rows, size = docs.agg(F.count(F.lit(1)), F.sum(F.octet_length("text"))).first()
+    buckets = max(16, int((size or 0) / BYTES / 5) // BUCKET)
     share = min(1.0, SAMPLE / max(rows, 1))
     sampled = docs.where(
         F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.lit(int(share * (1 << 20)) + 1)
     )
-    counts = cut(
+    heavy = _top(
         sampled.mapInArrow(_sampled_tokens, "token long")
         .groupBy("token")
-        .agg(F.count(F.lit(1)).alias("n")),
-        "ngram-sample",
+        .agg(F.count(F.lit(1)).alias("n"))
+        .where(F.col("n") >= HEAVY_AT)
     )
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    top = (
-        counts.where(F.col("n") >= HEAVY_AT)
-        .orderBy(F.desc("n"), "token")
-        .limit(HEAVY_MAX)
-        .select("token")
-        .toPandas()
+    if share == 1.0:
+        return heavy, buckets
+    known = docs.sparkSession.sparkContext.broadcast(heavy)
+    common = _top(
+        docs.mapInArrow(_fronts(known, buckets), "bucket int, tokens binary, counts binary")
+        .groupBy("bucket")
+        .applyInPandas(_common_in_bucket, "token long, n long")
     )
-    heavy = np.sort(top["token"].to_numpy(np.int64).view(np.uint64))
-    return heavy, int(total / share / 5)
+    return np.union1d(heavy, common), buckets
 
 
-def ordered_prefix(tokens: np.ndarray, heavy: np.ndarray) -> tuple[np.ndarray, int]:
-    """(the prefix of a sorted set, how many of it are not frequent)."""
-    length = prefix_length(len(tokens))
+def ordered_prefix(
+    tokens: np.ndarray, heavy: np.ndarray, share: float = 0.0
+) -> tuple[np.ndarray, int]:
+    """(the prefix of a sorted set, or ``share`` of it, how many of it are not frequent)."""
+    length = max(prefix_length(len(tokens)), int(share * len(tokens)))
     if not len(heavy):
         return tokens[:length], length
     at = np.searchsorted(heavy, tokens)
@@ -114,62 +158,62 @@ def ordered_prefix(tokens: np.ndarray, heavy: np.ndarray) -> tuple[np.ndarray, i
     return np.concatenate([rare, tokens[late][: length - len(rare)]]), len(rare)
 
 
-def _scan(heavy: np.ndarray, buckets: int):
+def _digests(batches):
+    """Size and 128-bit digest of each document's set."""
+    hasher = WordHasher()
+    for batch in batches:
+        for ids, texts in _texts(batch):
+            sets = shingle_sets(texts, hasher)
+            h1 = np.array([np.add.reduce(s, dtype=np.uint64) for s in sets], np.uint64)
+            h2 = np.array(
+                [np.add.reduce(mix(s + np.uint64(77)), dtype=np.uint64) for s in sets], np.uint64
+            )
+            yield pa.RecordBatch.from_arrays(
+                [ids, pa.array([len(s) for s in sets], pa.int32()),
+                 pa.array(_signed(h1)), pa.array(_signed(h2))],
+                names=["doc_id", "n", "h1", "h2"],
+            )
+
+
+def _prefixes(heavy, buckets: int):
+    """Prefix tokens of all documents, packed by bucket.
+
+    Frequent tokens, of which nothing can be dropped, are dealt to buckets below 0 by
+    document.
+    """
+
     def run(batches):
         hasher = WordHasher()
         for batch in batches:
-            found: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
+            found: list[tuple[np.ndarray, ...]] = []
             for ids, texts in _texts(batch):
                 sets = shingle_sets(texts, hasher)
-                ids = ids.to_pylist()
-                rows = {"doc_id": ids, "n": [len(s) for s in sets], "h1": [], "h2": []}
-                for doc_id, tokens in zip(ids, sets, strict=True):
-                    rows["h1"].append(int(_signed(np.add.reduce(tokens, keepdims=True))[0]))
-                    rows["h2"].append(
-                        int(_signed(np.add.reduce(mix(tokens + np.uint64(77)), keepdims=True))[0])
-                    )
+                for doc_id, tokens in zip(ids.to_pylist(), sets, strict=True):
                     if doc_id is not None and len(tokens):
-                        prefix, rare = ordered_prefix(tokens, heavy)
-                        found.append(
-                            (prefix, np.full(len(prefix), doc_id, np.int64),
-                             np.arange(1, len(prefix) + 1, dtype=np.int32),
-                             np.arange(len(prefix)) >= rare)
-                        )
-                yield _rows(rows)
-            if found:
-                tokens, docs, places, late = map(np.concatenate, zip(*found, strict=True))
-                where = (tokens >> np.uint64(32)).astype(np.int64) * buckets >> 32
-                where[late] = -1
-                turn = np.argsort(where, kind="stable")
-                where = where[turn]
-                cuts = np.flatnonzero(np.diff(where)) + 1
-                parts = [np.split(x[turn], cuts) for x in (tokens, docs, places)]
-                yield _rows(
-                    {
-                        "bucket": [int(x[0]) for x in np.split(where, cuts)],
-                        "tokens": [x.tobytes() for x in parts[0]],
-                        "docs": [x.tobytes() for x in parts[1]],
-                        "places": [x.tobytes() for x in parts[2]],
-                    }
-                )
+                        prefix, rare = ordered_prefix(tokens, heavy.value)
+                        places = np.arange(1, len(prefix) + 1, dtype=np.int32)
+                        docs = np.full(len(prefix), doc_id, np.int64)
+                        found.append((prefix, docs, places, places > rare))
+            if not found:
+                continue
+            tokens, docs, places, late = map(np.concatenate, zip(*found, strict=True))
+            where = (tokens >> np.uint64(32)).astype(np.int64) * buckets >> 32
+            where[late] = -1 - np.abs(docs[late]) % buckets
+            turn = np.argsort(where, kind="stable")
+            where = where[turn]
+            cuts = np.flatnonzero(np.diff(where)) + 1
+            columns = [
+                pa.array([x.tobytes() for x in np.split(values[turn], cuts)], pa.binary())
+                for values in (tokens, docs, places)
+            ]
+            numbers = pa.array([int(x[0]) for x in np.split(where, cuts)], pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [numbers, *columns], names=["bucket", "tokens", "docs", "places"]
+            )
 
     return run
 
 
-_ARROW = pa.schema(
-    [("doc_id", pa.int64()), ("n", pa.int32()), ("h1", pa.int64()), ("h2", pa.int64()),
-     ("bucket", pa.int32()), ("tokens", pa.binary()), ("docs", pa.binary()),
-     ("places", pa.binary())]
-)
-
-
-def _rows(columns: dict) -> pa.RecordBatch:
-    size = len(next(iter(columns.values())))
-    return pa.RecordBatch.from_arrays(
-        [pa.array(columns.get(f.name, [None] * size), f.type) for f in _ARROW], schema=_ARROW
-    )
-
-
 def _entries(tokens, docs, places) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return (
         np.frombuffer(b"".join(tokens), np.int64),
@@ -179,8 +223,10 @@ def _entries(tokens, docs, places) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _shared_in_bucket(rows: pd.DataFrame) -> pd.DataFrame:
-    """The entries of one bucket whose token stands in several documents."""
+    """The entries of one bucket whose token may stand in several documents."""
     tokens, docs, places = _entries(rows["tokens"], rows["docs"], rows["places"])
+    if rows["bucket"].iloc[0] < 0:
+        return pd.DataFrame({"token": tokens, "doc": docs, "place": places})
     turn = np.argsort(tokens, kind="stable")
     tokens, docs, places = tokens[turn], docs[turn], places[turn]
     same = tokens[1:] == tokens[:-1]
@@ -188,12 +234,6 @@ def _shared_in_bucket(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"token": tokens[keep], "doc": docs[keep], "place": places[keep]})
 
 
-def _unpacked(frames):
-    for rows in frames:
-        tokens, docs, places = _entries(rows["tokens"], rows["docs"], rows["places"])
-        yield pd.DataFrame({"token": tokens, "doc": docs, "place": places})
-
-
 def _sets(batches):
     hasher = WordHasher()
     for batch in batches:
@@ -219,6 +259,52 @@ class _Forest:
         return a != b
 
 
+def possible_docs(sides: list[pd.DataFrame], same: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Which documents of two groups, or of one, can have a partner there.
+
+    Two documents share no more than their common prefix tokens and what stands
+    behind the last of these in either; that must reach the overlap their sizes ask.
+    """
+    queries, members = sides
+    sizes = members["n"].to_numpy(np.int64)
+    owner = np.repeat(np.arange(len(members)), members["tokens"].str.len())
+    tokens = np.concatenate(members["tokens"].to_numpy())
+    places = np.concatenate(members["places"].to_numpy())
+    turn = np.argsort(tokens, kind="stable")
+    tokens, owner, places = tokens[turn], owner[turn], places[turn]
+    live = np.zeros(len(queries), dtype=bool), np.zeros(len(members), dtype=bool)
+    for i, (n, own, where) in enumerate(
+        zip(queries["n"], queries["tokens"], queries["places"], strict=True)
+    ):
+        low = np.searchsorted(tokens, own, "left")
+        counts = np.searchsorted(tokens, own, "right") - low
+        spots = np.repeat(low - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+        hit = owner[spots]
+        common = np.bincount(hit, minlength=len(members))
+        last, here = np.zeros(len(members), np.int64), np.zeros(len(members), np.int64)
+        np.maximum.at(last, hit, places[spots])
+        np.maximum.at(here, hit, np.repeat(where, counts))
+        most = common + np.minimum(n - here, sizes - last)
+        good = (common > 0) & (180 * most >= 80 * (n + sizes))
+        if same:
+            good[i] = False
+        live[0][i] = good.any()
+        live[1][good] = True
+    return live
+
+
+def _live_rows(rows: pd.DataFrame) -> pd.DataFrame:
+    out = [rows[:0]]
+    for (u, v), pair in rows.groupby(["u", "v"], sort=False):
+        sides = [pair[pair["side"] == side] for side in (0, 1)]
+        if u == v:
+            out.append(sides[0][possible_docs([sides[0]] * 2, True)[0]])
+        elif len(sides[0]) and len(sides[1]):
+            for side, live in zip(sides, possible_docs(sides, False), strict=True):
+                out.append(side[live])
+    return pd.concat(out)[["u", "v", "side", "doc"]]
+
+
 def open_groups(queries: list, members: list, same: bool) -> list[tuple[int, int]]:
     """Links between (doc, sorted set) of two groups, or inside one.
 
@@ -266,8 +352,8 @@ def _open_bucket(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(links, columns=["a", "b"]).astype("int64")
 
 
-def _meeting_units(shared: DataFrame, sizes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(members of groups, pairs of groups to open) from shared prefix tokens."""
+def _meeting_units(shared: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(u, v, side, doc): pairs of groups to open, with those members that can matter."""
     counts = shared.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     shared = shared.join(counts, "token")
     keys = shared.groupBy("doc").agg(F.max(F.struct("df", "token"))["token"].alias("key"))
@@ -312,16 +398,33 @@ def _meeting_units(shared: DataFrame, sizes: DataFrame) -> tuple[DataFrame, Data
     most = F.col("common") + F.least(F.expr("u_n - u_place"), F.expr("v_n - v_place"))
     possible = ~(F.col("u_alone") & F.col("v_alone")) | (most * 180 >= F.expr("80 * (u_n + v_n)"))
     pairs = met.where(possible).select("u", "v")
-    return members, pairs.unionByName(inside.select(F.col("unit").alias("u"), F.col("unit").alias("v")))
+    pairs = pairs.unionByName(inside.select(F.col("unit").alias("u"), F.col("unit").alias("v")))
+    ends = [F.struct(F.lit(k).alias("side"), F.col(u).alias("unit")) for k, u in enumerate("uv")]
+    both = F.when(F.expr("u = v"), F.array(ends[0])).otherwise(F.array(*ends))
+    ends = pairs.select("u", "v", F.explode(both).alias("end")).select(
+        "u", "v", "end.side", "end.unit"
+    )
+    opened = cut(ends.join(members, "unit").select("u", "v", "side", "doc"), "ngram-opened")
+    parts = max(1, -(-opened.count() // (4 * OPENED)))
+    entries = (
+        shared.groupBy("doc")
+        .agg(F.sort_array(F.collect_list(F.struct("place", "token"))).alias("entries"))
+        .join(sizes, "doc")
+        .select("doc", "n", F.col("entries.token").alias("tokens"), F.col("entries.place").alias("places"))
+    )
+    return (
+        opened.join(entries, "doc")
+        .withColumn("part", F.pmod(F.xxhash64("u", "v"), F.lit(parts)))
+        .groupBy("part")
+        .applyInPandas(_live_rows, "u long, v long, side int, doc long")
+    )
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of ``docs`` (doc_id, text, ...)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    heavy, expected = _heavy_tokens(docs)
-    buckets = max(16, -(-expected // BUCKET))
-    scanned = cut(docs.mapInArrow(_scan(heavy, buckets), _SCANNED), "ngram-scan")
-    rows = scanned.where("bucket is null").select("doc_id", "n", "h1", "h2")
+    heavy, buckets = _frequent_tokens(docs)
+    rows = cut(docs.mapInArrow(_digests, "doc_id long, n int, h1 long, h2 long"), "ngram-rows")
     classes = cut(
         rows.where("n > 0 and doc_id is not null")
         .groupBy("n", "h1", "h2")
@@ -329,38 +432,17 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
         "ngram-classes",
     )
     sizes = classes.groupBy(F.col("rep").alias("doc")).agg(F.max("n").alias("n"))
-    packed = scanned.where("bucket is not null").select("bucket", "tokens", "docs", "places")
+    heavy = docs.sparkSession.sparkContext.broadcast(heavy)  # 2 * HEAVY_MAX tokens at most
     entry = "token long, doc long, place int"
     shared = (
-        packed.where("bucket >= 0")
+        docs.mapInArrow(_prefixes(heavy, buckets), _PACKED)
         .groupBy("bucket")
         .applyInPandas(_shared_in_bucket, entry)
-        .unionByName(
-            packed.where("bucket < 0")
-            .select("tokens", "docs", "places")
-            .mapInPandas(_unpacked, entry)
-        )
         .join(sizes.select("doc"), "doc", "left_semi")
         .groupBy("token", "doc")
         .agg(F.min("place").alias("place"))
     )
-    members, pairs = _meeting_units(cut(shared, "ngram-shared"), sizes)
-    pairs = cut(pairs, "ngram-pairs")
-    ends = pairs.select(
-        "u", "v",
-        F.explode(
-            F.when(
-                F.col("u") == F.col("v"),
-                F.array(F.struct(F.lit(0).alias("side"), F.col("u").alias("unit"))),
-            ).otherwise(
-                F.array(
-                    F.struct(F.lit(0).alias("side"), F.col("u").alias("unit")),
-                    F.struct(F.lit(1).alias("side"), F.col("v").alias("unit")),
-                )
-            )
-        ).alias("end"),
-    ).select("u", "v", "end.side", "end.unit")
-    opened = cut(ends.join(members, "unit").select("u", "v", "side", "doc"), "ngram-opened")
+    opened = cut(_meeting_units(cut(shared, "ngram-shared"), sizes), "ngram-live")
     wanted = opened.select("doc").distinct()
     sets = (
         docs.join(wanted, docs["doc_id"] == wanted["doc"], "left_semi")
