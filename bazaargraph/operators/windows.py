@@ -16,15 +16,16 @@ def window_revenue(
 
     Events without time belong to no window. ``watermark`` matters for streams
     only. ``price_scale`` sums prices as decimals with that many places, which
-    gives the same sum for every order of the rows; without it doubles are
-    summed.
+    gives the same sum for every order of the rows; a price too large for that counts
+    as missing. Without it doubles are summed.
     """
     if watermark is not None:
         events = events.withWatermark("timestamp", watermark)
     if price_scale is None:
         revenue = F.sum("price")
     else:
-        revenue = F.sum(F.col("price").cast(f"decimal(18,{price_scale})")).cast("double")
+        exact = F.col("price").try_cast(f"decimal(18,{price_scale})")
+        revenue = F.sum(exact).cast("double")
     return (
         events.groupBy(F.window("timestamp", width), "action_type")
         .agg(F.count(F.lit(1)).alias("nb_events"), revenue.alias("chiffre_affaires"))

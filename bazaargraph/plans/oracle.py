@@ -450,6 +450,9 @@ FROM ed GROUP BY ALL""",
   || strftime("timestamp", {ISO}) || '","price":' || CAST(price AS VARCHAR) || '}}' AS value
 FROM ed""",
     ),
+    "state_after_snapshot": STATE,
+    "snapshot_other_weights": STATE,
+    "rebuilt_state": STATE,
     "stream_graph_state": STATE,
     "stream_window_revenue": _windows("minute"),
 }

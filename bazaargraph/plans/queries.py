@@ -477,6 +477,44 @@ def keyed_edges(spark, sf_dir):
 NOW = streams.Triggers(available_now=True)
 
 
+def _halves(spark: SparkSession, sf_dir: str, state: GraphState, between) -> DataFrame:
+    """Events of even days, ``between``, then those of odd days; the edges as loaded."""
+    events = warehouse.graph_events(spark, sf_dir)
+    for epoch in (0, 1):
+        half = events.where(F.pmod(_day(), F.lit(2)) == epoch)
+        state.apply_batch(*build.build_graph(half), epoch)
+        if epoch == 0:
+            between(state)
+    return state.load()[0]
+
+
+@query
+def state_after_snapshot(spark, sf_dir):
+    """A snapshot merged with later partials when read."""
+    state = GraphState(spark, scratch_path(spark, "state")).open()
+    return _zoneless(_halves(spark, sf_dir, state, GraphState.snapshot))
+
+
+@query
+def snapshot_other_weights(spark, sf_dir):
+    """A snapshot taken with a single weight keeps the counts of all actions."""
+
+    def narrow(state: GraphState) -> None:
+        GraphState(spark, state.path, weights={"ACHAT": 20.0}).open().snapshot()
+
+    state = GraphState(spark, scratch_path(spark, "state")).open()
+    return _zoneless(_halves(spark, sf_dir, state, narrow))
+
+
+@query
+def rebuilt_state(spark, sf_dir):
+    """The state made anew from its raw log."""
+    state = GraphState(spark, scratch_path(spark, "state"), keep_raw=True).open()
+    _halves(spark, sf_dir, state, lambda _: None)
+    state.rebuild()
+    return _zoneless(state.load()[0])
+
+
 @query
 def stream_graph_state(spark, sf_dir):
     """JSON files streamed in several epochs into stored state, with snapshots."""

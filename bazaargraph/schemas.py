@@ -26,6 +26,9 @@ ZERO_PRICE_ACTIONS: tuple[str, ...] = ("like",)
 ID_COLUMNS: tuple[str, ...] = ("user_id", "product_id", "seller_id")
 
 
+# The column names, types and nullability of the tables below.
+
+
 def event_schema() -> StructType:
     """One JSON event; ``timestamp`` is still text here."""
     return StructType(
@@ -82,3 +85,17 @@ def vertices_schema() -> StructType:
     return StructType(
         [StructField("id", StringType(), False), StructField("type", StringType())]
     )
+
+
+def windows_schema() -> StructType:
+    """Window updates as stored: one folder for each epoch."""
+    return StructType(
+        [
+            StructField("window_start", TimestampType()),
+            StructField("window_end", TimestampType()),
+            StructField("action_type", StringType()),
+            StructField("nb_events", LongType()),
+            StructField("chiffre_affaires", DoubleType()),
+            StructField("epoch_id", LongType()),
+        ]
+    )

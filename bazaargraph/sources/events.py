@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 from bazaargraph.schemas import ID_COLUMNS, event_schema
 
+# Prices from here on are taken for errors; sums of smaller ones fit all aggregates.
+PRICE_LIMIT = 1e15
+
 
 def kafka_stream(
     spark: SparkSession,
@@ -51,7 +54,8 @@ def decode(messages: DataFrame) -> DataFrame:
     """Event columns, ``raw`` text and ``defect`` from JSON in ``value``.
 
     ``defect`` is NULL for a good message, else ``bad_json`` (no field could be
-    read), ``missing_id`` or ``bad_timestamp`` (text that is not a time).
+    read), ``missing_id``, ``bad_timestamp`` (text that is not a time) or ``bad_price``
+    (not a finite number below ``PRICE_LIMIT``; the price is then NULL).
     """
     text = messages.select(F.col("value").cast("string").alias("raw"))
     # A generator hands out the fields. As a plain projection the parser would be
@@ -62,22 +66,25 @@ def decode(messages: DataFrame) -> DataFrame:
     nothing_read = F.coalesce(*(F.col(c).cast("string") for c in names)).isNull()
     id_missing = reduce(or_, (F.col(c).isNull() for c in ID_COLUMNS))
     time = F.col("timestamp").try_cast("timestamp")
+    usable = F.abs("price") < PRICE_LIMIT  # false for NaN, which is above all numbers
     defect = (
         F.when(nothing_read, "bad_json")
         .when(id_missing, "missing_id")
         .when(F.col("timestamp").isNotNull() & time.isNull(), "bad_timestamp")
+        .when(F.col("price").isNotNull() & ~usable, "bad_price")
     )
-    others = [c for c in names if c != "timestamp"]
-    return fields.select(time.alias("timestamp"), *others, "raw", defect.alias("defect"))
+    others = [c for c in names if c not in ("timestamp", "price")]
+    price = F.when(usable, F.col("price")).alias("price")
+    return fields.select(time.alias("timestamp"), *others, price, "raw", defect.alias("defect"))
 
 
 def accepted(decoded: DataFrame) -> DataFrame:
     """Events fit for the graph.
 
-    A bad time does not exclude an event: it counts with a NULL time. A missing
-    id does, as no vertex could be made of it.
+    A bad time or price does not exclude an event: it counts with a NULL there. A
+    missing id does, as no vertex could be made of it.
     """
-    fit = F.col("defect").isNull() | (F.col("defect") == "bad_timestamp")
+    fit = F.col("defect").isNull() | F.col("defect").isin("bad_timestamp", "bad_price")
     return decoded.filter(fit).select(event_schema().fieldNames())
 
 

@@ -19,6 +19,8 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import asdict, dataclass, field, replace
+from functools import reduce
+from operator import and_
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -75,6 +77,8 @@ class Manifest:
     last_epoch_id: int = -1
     snapshot: Part | None = None
     parts: tuple[Part, ...] = field(default_factory=tuple)
+    # Every action ever counted; its column is carried on whatever the weights are.
+    actions: tuple[str, ...] = field(default_factory=tuple)
 
     def to_json(self) -> str:
         return json.dumps(asdict(self), indent=1)
@@ -89,6 +93,7 @@ class Manifest:
             last_epoch_id=int(fields["last_epoch_id"]),
             snapshot=None if snapshot is None else Part(**snapshot),
             parts=tuple(Part(**part) for part in fields["parts"]),
+            actions=tuple(fields.get("actions", ())),
         )
 
 
@@ -139,7 +144,15 @@ class GraphState:
     def manifest(self) -> Manifest:
         if not exists(self.spark, self._manifest_path):
             return Manifest()
-        return Manifest.from_json(read_text(self.spark, self._manifest_path))
+        found = Manifest.from_json(read_text(self.spark, self._manifest_path))
+        folders = [p.name for p in (found.snapshot, *found.parts) if p is not None]
+        if folders and not found.actions:  # written before actions were recorded
+            files = self.spark.read.option("mergeSchema", True).parquet(
+                *(f"{self.path}/edges/{name}" for name in folders)
+            )
+            others = ("src", "dst", "score", "last_interaction")
+            found = replace(found, actions=tuple(c for c in files.columns if c not in others))
+        return found
 
     def open(self, load: bool = True) -> GraphState:
         """Create what is missing. With ``load=False`` the state starts empty."""
@@ -155,15 +168,19 @@ class GraphState:
 
     # -- reading ----------------------------------------------------------
 
-    def _edge_schema(self) -> StructType:
+    def _counted(self, manifest: Manifest) -> dict[str, float]:
+        """All actions with a count column, weighted now or before; the values don't matter."""
+        return dict.fromkeys((*manifest.actions, *self.weights), 0.0)
+
+    def _edge_schema(self, manifest: Manifest) -> StructType:
         base = StructType().add("src", "string").add("dst", "string")
         base.add(StructField("last_interaction", TimestampType()))
-        for action in self.weights:
+        for action in self._counted(manifest):
             base.add(StructField(action, LongType()))
         return base
 
-    def _read(self, kind: str, parts: Sequence[Part]) -> DataFrame:
-        schema = self._edge_schema() if kind == "edges" else raw_vertices_schema()
+    def _read(self, kind: str, parts: Sequence[Part], manifest: Manifest) -> DataFrame:
+        schema = self._edge_schema(manifest) if kind == "edges" else raw_vertices_schema()
         if not parts:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(
@@ -182,26 +199,31 @@ class GraphState:
         parts = manifest.parts
         base = [manifest.snapshot] if manifest.snapshot else []
         if len(base) + len(parts) <= 1:
-            return self._read(kind, [*base, *parts])
-        recent = self._read(kind, parts)
+            return self._read(kind, [*base, *parts], manifest)
+        recent = self._read(kind, parts, manifest)
         size = sum(
             part.edge_key_size if kind == "edges" else part.vertex_key_size for part in parts
         )
         if not base or not fits_broadcast(size):
-            return merge(self._read(kind, [*base, *parts]))
-        snapshot = self._read(kind, base)
-        touched = F.broadcast(recent.select(*keys).distinct())
-        return snapshot.join(touched, keys, "left_anti").unionByName(
-            merge(snapshot.join(touched, keys, "left_semi").unionByName(recent))
+            return merge(self._read(kind, [*base, *parts], manifest))
+        snapshot = self._read(kind, base, manifest)
+        touched = recent.select(*(F.col(k).alias(f"_{k}") for k in keys)).distinct()
+        # Null-safe, as grouping is: a NULL key is one key.
+        same = reduce(and_, (F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys))
+        touched = F.broadcast(touched)
+        return snapshot.join(touched, same, "left_anti").unionByName(
+            merge(snapshot.join(touched, same, "left_semi").unionByName(recent))
         )
 
     def _counts(self, manifest: Manifest) -> DataFrame:
+        actions = self._counted(manifest)
+
         def merge(partials: DataFrame) -> DataFrame:
-            return merge_edge_partials(partials, self.weights)
+            return merge_edge_partials(partials, actions)
 
         combined = self._combined("edges", manifest, ["src", "dst"], merge)
         # An action without a column in an old folder was never counted.
-        return combined.fillna(0, subset=list(self.weights))
+        return combined.fillna(0, subset=list(actions))
 
     def _latest(self, manifest: Manifest) -> DataFrame:
         return self._combined("vertices", manifest, ["id"], latest_vertices)
@@ -242,8 +264,8 @@ class GraphState:
     def _measured(self, part: Part) -> Part:
         return replace(
             part,
-            edge_key_size=measure(self._read("edges", [part]), "src", "dst")[1],
-            vertex_key_size=measure(self._read("vertices", [part]), "id")[1],
+            edge_key_size=measure(self._read("edges", [part], Manifest()), "src", "dst")[1],
+            vertex_key_size=measure(self._read("vertices", [part], Manifest()), "id")[1],
         )
 
     def apply_batch(self, vertices: DataFrame, edges: DataFrame, epoch_id: int) -> None:
@@ -266,15 +288,15 @@ class GraphState:
         marked = vertices
         if "epoch_id" not in vertices.columns:
             marked = raw_vertices(vertices, epoch_id)
-        part = self._store(
-            edge_partials(edges, self.weights), latest_vertices(marked), epoch_id
-        )
+        counted = self._counted(before)
+        part = self._store(edge_partials(edges, counted), latest_vertices(marked), epoch_id)
         kept = tuple(p for p in before.parts if p.epoch_id != epoch_id)
         after = replace(
             before,
             batch_count=before.batch_count + (0 if repeated else 1),
             last_epoch_id=epoch_id,
             parts=(*kept, self._measured(part)),
+            actions=tuple(counted),
         )
         self._commit(after)
         if self.snapshot_every > 0 and after.batch_count % self.snapshot_every == 0:
@@ -289,7 +311,7 @@ class GraphState:
         few row groups.
         """
         return self._store(
-            with_score(self._counts(manifest), self.weights).sortWithinPartitions("src", "dst"),
+            self._counts(manifest).sortWithinPartitions("src", "dst"),
             self._latest(manifest).sortWithinPartitions("id"),
             manifest.last_epoch_id,
             merged=True,
@@ -301,6 +323,25 @@ class GraphState:
         if manifest.parts:
             self._commit(replace(manifest, snapshot=self._merged(manifest), parts=()))
 
+    def rebuild(self) -> None:
+        """Make the state anew from the raw log, counting every row as live batches do.
+
+        Needs ``keep_raw`` from the first epoch on. It replaces whatever the state was,
+        a damaged manifest, too.
+        """
+        edges, vertices = self.raw_log()
+        epochs, last = vertices.agg(F.count_distinct("epoch_id"), F.max("epoch_id")).first()
+        if not epochs:
+            self._commit(Manifest())
+            return
+        part = self._store(
+            edge_partials(edges, self.weights).sortWithinPartitions("src", "dst"),
+            latest_vertices(vertices).sortWithinPartitions("id"),
+            last,
+            merged=True,
+        )
+        self._commit(Manifest(epochs, last, snapshot=part, actions=tuple(self.weights)))
+
     def merge_parts(self) -> None:
         """Merge the partials since the snapshot into one and leave the snapshot alone."""
         manifest = self.manifest()

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from bazaargraph.operators.build import build_graph
 from bazaargraph.operators.rank import popular_products
 from bazaargraph.operators.windows import latest_windows, window_revenue
+from bazaargraph.schemas import windows_schema
 from bazaargraph.sources.events import accepted, decode, kafka_stream, parse_events, quarantined
+from bazaargraph.workspace import read_table
 
 OnGraph = Callable[[DataFrame, DataFrame, int], None]
 
@@ -61,8 +64,8 @@ def write_windows(path: str) -> Callable[[DataFrame, int], None]:
 
 
 def read_windows(spark: SparkSession, path: str) -> DataFrame:
-    """Current value of every window written by ``write_windows``."""
-    return latest_windows(spark.read.parquet(path))
+    """Current value of every window written by ``write_windows``; none before the first."""
+    return latest_windows(read_table(spark, path, windows_schema()))
 
 
 @dataclass(frozen=True)
@@ -147,10 +150,36 @@ def start_streams(
     return windows, graph
 
 
-def dropped_late_rows(query: StreamingQuery) -> int:
-    """Rows the watermark has dropped so far, from the query's recent progress."""
-    return sum(
-        operator["numRowsDroppedByWatermark"]
-        for progress in query.recentProgress
-        for operator in progress["stateOperators"]
-    )
+class LateRows(StreamingQueryListener):
+    """Counts the rows that watermarks drop, over all triggers of all queries.
+
+    A query's own progress keeps the last triggers only. Each trigger counts once,
+    when its progress is reported, which is shortly after its end.
+    """
+
+    def __init__(self) -> None:
+        self.dropped: Counter[str] = Counter()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        self.dropped[str(progress.id)] += sum(
+            operator.numRowsDroppedByWatermark for operator in progress.stateOperators
+        )
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
+def watch_late_rows(spark: SparkSession) -> LateRows:
+    """Start counting; to be called before the queries are started."""
+    listener = LateRows()
+    spark.streams.addListener(listener)
+    return listener
+
+
+def dropped_late_rows(query: StreamingQuery, late: LateRows) -> int:
+    """Rows the watermark has dropped since counting began, restarts included."""
+    return late.dropped[str(query.id)]

@@ -1,3 +1,4 @@
+import dataclasses
 import random
 
 import pytest
@@ -157,3 +158,52 @@ def test_tables_are_made_once(spark, tmp_path):
     spark.createDataFrame([("a", 1)], schema).write.mode("append").parquet(table)
     workspace.ensure_table(spark, table, spark.createDataFrame([], schema).schema)
     assert spark.read.parquet(table).count() == 1
+
+
+def test_counts_outlive_other_weights(spark, path):
+    GraphState(spark, path).open().apply_batch(*batch(spark, FOLD[:3]), 0)
+    narrow = GraphState(spark, path, weights={"ACHAT": 20.0}).open()
+    narrow.apply_batch(*batch(spark, FOLD[3:]), 1)
+    narrow.snapshot()
+    assert set(narrow.load()[0].columns) == {"src", "dst", "score", "last_interaction", "ACHAT"}
+    assert rows(GraphState(spark, path).open().load()[0]) == FOLD_EDGES
+
+
+def test_actions_of_an_old_manifest_are_read_from_the_files(spark, path):
+    state = GraphState(spark, path).open()
+    state.apply_batch(*batch(spark, FOLD), 0)
+    old = dataclasses.replace(state.manifest(), actions=())
+    workspace.replace_text(spark, f"{path}/manifest.json", old.to_json())
+    GraphState(spark, path, weights={"ACHAT": 20.0}).open().snapshot()
+    assert rows(GraphState(spark, path).open().load()[0]) == FOLD_EDGES
+
+
+def test_null_keys_merge_alike_on_both_ways(spark, path, monkeypatch):
+    edge = "src string, dst string, relationship string, timestamp timestamp, price double"
+    found = []
+    for limit in (workspace.BROADCAST_BYTES, 0):
+        monkeypatch.setattr(workspace, "BROADCAST_BYTES", limit)
+        state = GraphState(spark, f"{path}-{limit}").open()
+        for epoch in (0, 1):
+            edges = spark.createDataFrame(
+                [("u", None, "AIME", None, 1.0), ("u", "p", "AIME", None, 1.0)], edge
+            )
+            vertices = spark.createDataFrame([("u", "USER"), (None, "PROD")], "id string, type string")
+            state.apply_batch(vertices, edges, epoch)
+            if epoch == 0:
+                state.snapshot()
+        edges, vertices = state.load()
+        found.append((sorted(map(repr, edges.collect())), sorted(map(repr, vertices.collect()))))
+    assert found[0] == found[1]
+    assert [len(part) for part in found[0]] == [2, 2]
+
+
+def test_rebuilding_from_the_log(spark, path):
+    state = GraphState(spark, path, keep_raw=True).open()
+    for epoch, texts in ((0, FOLD[:3]), (1, FOLD[3:])):
+        state.apply_batch(*batch(spark, texts), epoch)
+    workspace.replace_text(spark, f"{path}/manifest.json", "{")
+    state.rebuild()
+    assert rows(state.load()[0]) == FOLD_EDGES
+    assert rows(state.load()[1]) == FOLD_VERTICES
+    assert (state.manifest().batch_count, state.manifest().last_epoch_id) == (2, 1)

@@ -1,6 +1,7 @@
 """Streams give what the same events give as a table."""
 
 import os
+import time
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -123,20 +124,44 @@ def test_batch_that_fails_is_repeated_once(spark, inbox):
 
 
 def test_late_rows(spark, inbox):
-    def event(action, time):
-        return message("u", "p", "s", action, time, 2.0)
+    def event(action, seconds):
+        return message("u", "p", "s", action, seconds, 2.0)
 
     # One file per micro-batch. Lateness is judged by the watermark that the
     # batch before has left.
     inbox.put([event("VOUT", 300)])
     inbox.put([event("VOUT", 360)])
     inbox.put([event("AIME", 30), event("VOUT", 370)])
-    query = inbox.windows()
+    inbox.put([event("AIME", 20), event("VOUT", 380)])
+    late = streams.watch_late_rows(spark)
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", 1)
+    try:
+        query = inbox.windows()
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
     assert rows(streams.read_windows(spark, f"{inbox.root}/windows")) == [
         (at(300), at(360), "VOUT", 1, 2.0),
-        (at(360), at(420), "VOUT", 2, 4.0),
+        (at(360), at(420), "VOUT", 3, 6.0),
     ]
-    assert streams.dropped_late_rows(query) == 1
+    # Reports arrive shortly after the triggers; the query itself keeps the last one.
+    deadline = time.monotonic() + 20
+    while streams.dropped_late_rows(query, late) < 2 and time.monotonic() < deadline:
+        time.sleep(0.2)
+    assert streams.dropped_late_rows(query, late) == 2
+    spark.streams.removeListener(late)
+
+
+def test_no_windows_before_the_first_batch(spark, inbox):
+    assert streams.read_windows(spark, f"{inbox.root}/none").count() == 0
+
+
+def test_no_price_stops_a_stream(spark, inbox):
+    inbox.put([message("u", "p", "s", "VOUT", 10, 1e17), message("u", "p", "s", "VOUT", 11, 2.5)])
+    decoded = sources.decode(sources.ndjson_table(spark, str(inbox.folder)))
+    assert [r.defect for r in sources.quarantined(decoded).collect()] == ["bad_price"]
+    assert sorted(r.price or 0 for r in sources.accepted(decoded).collect()) == [0, 2.5]
+    events = spark.createDataFrame([(at(10), "VOUT", 1e17), (at(11), "VOUT", 2.5)], "timestamp timestamp, action_type string, price double")
+    assert rows(window_revenue(events, price_scale=2)) == [(at(0), at(60), "VOUT", 2, 2.5)]
 
 
 def test_windows_go_on_after_a_restart(spark, inbox):
