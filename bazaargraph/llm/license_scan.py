@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from bazaargraph.llm.url_filter import LOWER, UPPER
+from bazaargraph.workspace import cut
 
 # Fixed values of the task: (phrase, label).
 BASE = [
@@ -51,44 +52,55 @@ NEIGHBOURS = 3  # diagonals at most so far apart are merged
 STRETCH = 1.5  # longest span, in template lengths
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"  # what words are split at, after lower-casing
 
 
 def _templates(spark: SparkSession) -> DataFrame:
-    rows = []
+    """(first, second, pair, hits): each pair of words once, with its places in the templates."""
+    hits: dict[tuple[str, str], list[tuple]] = {}
     for number, (phrase, label) in enumerate(BASE + NOTICES):
         words = phrase.split()
-        for at, (first, second) in enumerate(zip(words, words[1:], strict=False)):
-            rows.append((number, label, number < len(BASE), len(words) - 1, at, 1 << at, first, second))
+        for at, two in enumerate(zip(words, words[1:], strict=False)):
+            place = (number, label, number < len(BASE), len(words) - 1, at, 1 << at)
+            hits.setdefault(two, []).append(place)
+    kind = "template int, label string, base boolean, pairs int, at int, bit long"
     table = spark.createDataFrame(
-        rows,
-        "template int, label string, base boolean, pairs int, at int, bit long, first string, "
-        "second string",
+        [(*two, places) for two, places in hits.items()],
+        f"first string, second string, hits array<struct<{kind.replace(' ', ':').replace(',:', ',')}>>",
     )
     return table.withColumn("pair", F.xxhash64("first", "second"))
 
 
 def scan_licenses(docs: DataFrame) -> DataFrame:
     """Per row of ``docs`` (doc_id, text, ...): counts, places, labels and a score."""
-    lowered = F.translate("text", UPPER, LOWER)
     key = ["doc_id", "digest"]
+    split = F.split(F.translate("text", UPPER, LOWER), BETWEEN)
     words = docs.select(
-        "doc_id", F.xxhash64("text").alias("digest"),
-        F.regexp_extract_all(lowered, F.lit(WORD), F.lit(0)).alias("words"),
+        "doc_id", F.xxhash64("text").alias("digest"), F.array_remove(split, "").alias("words")
     )
-    hashes = F.transform(
-        F.sequence(F.lit(1), F.size("words") - 1),
-        lambda i: F.xxhash64(F.element_at("words", i), F.element_at("words", i + 1)),
+    # A pair travels with its own two words, not with all words of its text. The outer form
+    # keeps texts without words, whose place is null.
+    following = F.slice("words", F.lit(2), F.size("words"))
+    two = F.arrays_zip(F.col("words").alias("first"), following.alias("second"))
+    pairs = words.select(
+        *key,
+        F.greatest(F.size("words"), F.lit(0)).cast("long").alias("n_words"),
+        F.posexplode_outer(two).alias("place", "two"),
+    ).select(*key, "n_words", "place", "two.first", "two.second")
+    # The templates are the fixed list above, so broadcasting them is bounded. Each row of
+    # docs keeps its first place, whether that is a hit or not, so one pass answers all.
+    begins = F.coalesce("place", F.lit(0)) == 0
+    met = cut(
+        pairs.withColumn("pair", F.xxhash64("first", "second"))
+        .join(F.broadcast(_templates(docs.sparkSession)), ["pair", "first", "second"], "left")
+        .where(F.col("hits").isNotNull() | begins)
+        .select(*key, "n_words", "place", "hits"),
+        "license-hits",
     )
-    # The outer form, since Spark would otherwise put a filter on the hashes below the
-    # words, and split the text again for every pair.
-    pairs = words.withColumn("hashes", F.when(F.size("words") > 1, hashes)).select(
-        *key, "words", F.posexplode_outer("hashes").alias("place", "pair")
-    )
-    # The templates are the fixed list above, so broadcasting them is bounded.
     votes = (
-        pairs.join(F.broadcast(_templates(docs.sparkSession)), "pair")
-        .where(F.col("words")[F.col("place")] == F.col("first"))
-        .where(F.col("words")[F.col("place") + 1] == F.col("second"))
+        met.where("hits is not null")
+        .select(*key, "place", F.explode("hits").alias("hit"))
+        .select(*key, "place", "hit.*")
         .groupBy(
             *key, "template", "label", "base", "pairs", (F.col("place") - F.col("at")).alias("diagonal")
         )
@@ -124,10 +136,7 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
         F.collect_set(F.when(fits, F.col("label"))).alias("labels"),
         F.max(F.when(fits, F.lit(1.0)).otherwise(share / 2)).alias("score"),
     )
-    rows = docs.select(
-        "doc_id", F.xxhash64("text").alias("digest"),
-        F.coalesce(F.regexp_count(lowered, F.lit(WORD)), F.lit(0)).cast("long").alias("n_words"),
-    )
+    rows = met.where(begins).select(*key, "n_words")
 
     def joined(labels: str) -> F.Column:
         return F.array_join(F.array_sort(F.coalesce(labels, F.array())), ",").alias(labels)
