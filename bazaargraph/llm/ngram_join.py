@@ -16,7 +16,8 @@ same links.
 Steps: (1) frequent tokens are found; (2) documents with equal sets fall into one
 class; (3) prefix tokens of a single document are dropped; (4) a document's group is
 its most shared prefix token, large groups being split by hash; (5) groups that share
-prefix tokens meet, and those members whose prefixes leave room for a partner stay;
+prefix tokens meet, and those members that hold such a token, and whose prefixes leave
+room for a partner, stay;
 (6) meeting groups are opened, under the bound; (7) links become connected components.
 
 Null texts, empty texts and texts without words have an empty set and link with
@@ -352,29 +353,30 @@ def _open_bucket(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(links, columns=["a", "b"]).astype("int64")
 
 
-def _meeting_units(shared: DataFrame, sizes: DataFrame) -> DataFrame:
+def _meeting_docs(shared: DataFrame, sizes: DataFrame) -> DataFrame:
     """(u, v, side, doc): pairs of groups to open, with those members that can matter."""
     counts = shared.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    shared = shared.join(counts, "token")
-    keys = shared.groupBy("doc").agg(F.max(F.struct("df", "token"))["token"].alias("key"))
+    shared = cut(shared.join(counts, "token"), "ngram-counted")
+    keys = (
+        shared.groupBy("doc")
+        .agg(F.max(F.struct("df", "token"))["token"].alias("key"))
+        .join(sizes, "doc")
+    )
     counts = keys.groupBy("key").agg(F.count(F.lit(1)).alias("members"))
     slot = F.pmod(F.xxhash64("doc"), F.ceil(F.col("members") / GROUP))
     members = cut(
-        keys.join(counts, "key").select("doc", F.xxhash64("key", slot).alias("unit")),
+        keys.join(counts, "key").select("doc", "n", F.xxhash64("key", slot).alias("unit")),
         "ngram-members",
     )
+    placed = cut(shared.drop("df").join(members, "doc"), "ngram-placed")
     matrix = cut(
-        shared.join(members, "doc")
-        .join(sizes, "doc")
-        .groupBy("token", "unit")
-        .agg(
+        placed.groupBy("token", "unit").agg(
             F.count(F.lit(1)).alias("docs"), F.min("place").alias("place"),
             F.min("n").alias("n"),
         ),
         "ngram-matrix",
     )
     alone = members.groupBy("unit").agg((F.count(F.lit(1)) == 1).alias("alone"))
-    inside = matrix.where("docs > 1").select("unit").distinct()
     left, right = (
         matrix.select(
             "token", F.col("unit").alias(u), F.col("place").alias(f"{u}_place"),
@@ -382,10 +384,9 @@ def _meeting_units(shared: DataFrame, sizes: DataFrame) -> DataFrame:
         )
         for u in ("u", "v")
     )
-    met = (
-        left.join(right, "token")
-        .where("u < v")
-        .groupBy("u", "v")
+    met = cut(left.join(right, "token").where("u < v"), "ngram-met")
+    pairs = (
+        met.groupBy("u", "v")
         .agg(
             F.count(F.lit(1)).alias("common"),
             *(F.max(c).alias(c) for c in ("u_place", "v_place", "u_n", "v_n")),
@@ -397,19 +398,27 @@ def _meeting_units(shared: DataFrame, sizes: DataFrame) -> DataFrame:
     # all they can share besides the common prefix tokens.
     most = F.col("common") + F.least(F.expr("u_n - u_place"), F.expr("v_n - v_place"))
     possible = ~(F.col("u_alone") & F.col("v_alone")) | (most * 180 >= F.expr("80 * (u_n + v_n)"))
-    pairs = met.where(possible).select("u", "v")
-    pairs = pairs.unionByName(inside.select(F.col("unit").alias("u"), F.col("unit").alias("v")))
+    # Of a group only those members come that hold a token which makes it meet the other.
     ends = [F.struct(F.lit(k).alias("side"), F.col(u).alias("unit")) for k, u in enumerate("uv")]
-    both = F.when(F.expr("u = v"), F.array(ends[0])).otherwise(F.array(*ends))
-    ends = pairs.select("u", "v", F.explode(both).alias("end")).select(
-        "u", "v", "end.side", "end.unit"
+    meeting = (
+        met.join(pairs.where(possible), ["u", "v"], "left_semi")
+        .select("u", "v", "token", F.explode(F.array(*ends)).alias("end"))
+        .select("u", "v", "end.side", "end.unit", "token")
+    )
+    inside = matrix.where("docs > 1").select(
+        F.col("unit").alias("u"), F.col("unit").alias("v"), F.lit(0).alias("side"), "unit", "token"
+    )
+    opened = cut(
+        meeting.unionByName(inside)
+        .join(placed.select("token", "unit", "doc"), ["token", "unit"])
+        .select("u", "v", "side", "doc")
+        .distinct(),
+        "ngram-opened",
     )
-    opened = cut(ends.join(members, "unit").select("u", "v", "side", "doc"), "ngram-opened")
     parts = max(1, -(-opened.count() // (4 * OPENED)))
     entries = (
-        shared.groupBy("doc")
+        placed.groupBy("doc", "n")
         .agg(F.sort_array(F.collect_list(F.struct("place", "token"))).alias("entries"))
-        .join(sizes, "doc")
         .select("doc", "n", F.col("entries.token").alias("tokens"), F.col("entries.place").alias("places"))
     )
     return (
@@ -442,7 +451,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
         .groupBy("token", "doc")
         .agg(F.min("place").alias("place"))
     )
-    opened = cut(_meeting_units(cut(shared, "ngram-shared"), sizes), "ngram-live")
+    opened = cut(_meeting_docs(cut(shared, "ngram-shared"), sizes), "ngram-live")
     wanted = opened.select("doc").distinct()
     sets = (
         docs.join(wanted, docs["doc_id"] == wanted["doc"], "left_semi")
