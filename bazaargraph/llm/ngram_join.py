@@ -14,7 +14,7 @@ most of both. The order decides only how much work there is: any order gives the
 same links.
 
 Steps: (1) frequent tokens are found; (2) documents with equal sets fall into one
-class; (3) prefix tokens of a single document are dropped; (4) a document's group is
+class; (3) prefix tokens of a single row are dropped; (4) a document's group is
 its most shared prefix token, large groups being split by hash; (5) groups that share
 prefix tokens meet, and those members that hold such a token, and whose prefixes leave
 room for a partner, stay;
@@ -79,10 +79,10 @@ def _sampled_tokens(batches):
             yield pa.record_batch([pa.array(_signed(tokens))], names=["token"])
 
 
-def _top(counts: DataFrame) -> np.ndarray:
-    """The most frequent of (token, n), sorted; at most ``HEAVY_MAX``."""
-    top = counts.orderBy(F.desc("n"), "token").limit(HEAVY_MAX).select("token").toPandas()
-    return np.sort(top["token"].to_numpy(np.int64).view(np.uint64))
+def _top(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent of (token, n), at most ``HEAVY_MAX``, and their n."""
+    top = counts.orderBy(F.desc("n"), "token").limit(HEAVY_MAX).toPandas()
+    return top["token"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.float64)
 
 
 def _fronts(heavy, buckets: int):
@@ -120,29 +120,34 @@ def _common_in_bucket(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"token": tokens[n >= COMMON_AT], "n": n[n >= COMMON_AT]})
 
 
-def _frequent_tokens(docs: DataFrame) -> tuple[np.ndarray, int]:
-    """(frequent tokens, sorted; number of buckets for prefix tokens)."""
+def _frequent_tokens(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, int]:
+    """(frequent tokens, sorted; about how frequent each is; buckets for prefix tokens)."""
     rows, size = docs.agg(F.count(F.lit(1)), F.sum(F.octet_length("text"))).first()
     buckets = max(16, int((size or 0) / BYTES / 5) // BUCKET)
     share = min(1.0, SAMPLE / max(rows, 1))
     sampled = docs.where(
         F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.lit(int(share * (1 << 20)) + 1)
     )
-    heavy = _top(
+    tokens, weights = _top(
         sampled.mapInArrow(_sampled_tokens, "token long")
         .groupBy("token")
         .agg(F.count(F.lit(1)).alias("n"))
         .where(F.col("n") >= HEAVY_AT)
     )
+    turn = np.argsort(tokens)
+    tokens, weights = tokens[turn], weights[turn] / share
     if share == 1.0:
-        return heavy, buckets
-    known = docs.sparkSession.sparkContext.broadcast(heavy)
-    common = _top(
+        return tokens, weights, buckets
+    known = docs.sparkSession.sparkContext.broadcast(tokens)
+    common, counts = _top(
         docs.mapInArrow(_fronts(known, buckets), "bucket int, tokens binary, counts binary")
         .groupBy("bucket")
         .applyInPandas(_common_in_bucket, "token long, n long")
     )
-    return np.union1d(heavy, common), buckets
+    both, numbers = np.append(tokens, common), np.append(weights, counts)
+    turn = np.lexsort((-numbers, both))
+    tokens, first = np.unique(both[turn], return_index=True)
+    return tokens, numbers[turn][first], buckets
 
 
 def ordered_prefix(
@@ -191,7 +196,7 @@ def _prefixes(heavy, buckets: int):
                 sets = shingle_sets(texts, hasher)
                 for doc_id, tokens in zip(ids.to_pylist(), sets, strict=True):
                     if doc_id is not None and len(tokens):
-                        prefix, rare = ordered_prefix(tokens, heavy.value)
+                        prefix, rare = ordered_prefix(tokens, heavy.value[0])
                         places = np.arange(1, len(prefix) + 1, dtype=np.int32)
                         docs = np.full(len(prefix), doc_id, np.int64)
                         found.append((prefix, docs, places, places > rare))
@@ -223,16 +228,29 @@ def _entries(tokens, docs, places) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     )
 
 
-def _shared_in_bucket(rows: pd.DataFrame) -> pd.DataFrame:
-    """The entries of one bucket whose token may stand in several documents."""
-    tokens, docs, places = _entries(rows["tokens"], rows["docs"], rows["places"])
-    if rows["bucket"].iloc[0] < 0:
-        return pd.DataFrame({"token": tokens, "doc": docs, "place": places})
-    turn = np.argsort(tokens, kind="stable")
-    tokens, docs, places = tokens[turn], docs[turn], places[turn]
-    same = tokens[1:] == tokens[:-1]
-    keep = np.append(same, False) | np.insert(same, 0, False)
-    return pd.DataFrame({"token": tokens[keep], "doc": docs[keep], "place": places[keep]})
+def _shared_in_bucket(heavy):
+    """The entries of a bucket whose token may stand in several documents, and in how many.
+
+    Frequent tokens have the number they were found with; it only guides the grouping.
+    """
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        tokens, docs, places = _entries(rows["tokens"], rows["docs"], rows["places"])
+        if rows["bucket"].iloc[0] < 0:
+            frequent, weights = heavy.value
+            numbers = weights[np.searchsorted(frequent, tokens.view(np.uint64))].astype(np.int64)
+        else:
+            turn = np.argsort(tokens, kind="stable")
+            tokens, docs, places = tokens[turn], docs[turn], places[turn]
+            starts = np.flatnonzero(np.append(True, tokens[1:] != tokens[:-1]))
+            counts = np.diff(np.append(starts, len(tokens)))
+            numbers = np.repeat(counts, counts)
+        keep = numbers > 1
+        return pd.DataFrame(
+            {"token": tokens[keep], "doc": docs[keep], "place": places[keep], "df": numbers[keep]}
+        )
+
+    return run
 
 
 def _sets(batches):
@@ -355,8 +373,6 @@ def _open_bucket(rows: pd.DataFrame) -> pd.DataFrame:
 
 def _meeting_docs(shared: DataFrame, sizes: DataFrame) -> DataFrame:
     """(u, v, side, doc): pairs of groups to open, with those members that can matter."""
-    counts = shared.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    shared = cut(shared.join(counts, "token"), "ngram-counted")
     keys = (
         shared.groupBy("doc")
         .agg(F.max(F.struct("df", "token"))["token"].alias("key"))
@@ -432,7 +448,7 @@ def _meeting_docs(shared: DataFrame, sizes: DataFrame) -> DataFrame:
 def jaccard_components(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of ``docs`` (doc_id, text, ...)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    heavy, buckets = _frequent_tokens(docs)
+    *heavy, buckets = _frequent_tokens(docs)
     rows = cut(docs.mapInArrow(_digests, "doc_id long, n int, h1 long, h2 long"), "ngram-rows")
     classes = cut(
         rows.where("n > 0 and doc_id is not null")
@@ -441,15 +457,15 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
         "ngram-classes",
     )
     sizes = classes.groupBy(F.col("rep").alias("doc")).agg(F.max("n").alias("n"))
-    heavy = docs.sparkSession.sparkContext.broadcast(heavy)  # 2 * HEAVY_MAX tokens at most
-    entry = "token long, doc long, place int"
+    heavy = docs.sparkSession.sparkContext.broadcast(tuple(heavy))  # 2 * HEAVY_MAX at most
+    entry = "token long, doc long, place int, df long"
     shared = (
         docs.mapInArrow(_prefixes(heavy, buckets), _PACKED)
         .groupBy("bucket")
-        .applyInPandas(_shared_in_bucket, entry)
+        .applyInPandas(_shared_in_bucket(heavy), entry)
         .join(sizes.select("doc"), "doc", "left_semi")
         .groupBy("token", "doc")
-        .agg(F.min("place").alias("place"))
+        .agg(F.min("place").alias("place"), F.max("df").alias("df"))
     )
     opened = cut(_meeting_docs(cut(shared, "ngram-shared"), sizes), "ngram-live")
     wanted = opened.select("doc").distinct()
