@@ -11,7 +11,7 @@ from __future__ import annotations
 import numpy as np
 
 WORDS = 5
-BLOCK = 1 << 21  # bytes hashed at a time
+BLOCK = 1 << 18  # bytes hashed at a time
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(int(_ODD), -1, 1 << 64))
