@@ -278,29 +278,44 @@ class _Forest:
         return a != b
 
 
-def possible_docs(sides: list[pd.DataFrame], same: bool) -> tuple[np.ndarray, np.ndarray]:
+def _by_pair(rows: pd.DataFrame):
+    """(u, v, the two sides) of each pair of groups; a side is the positions of its rows."""
+    rows = rows.sort_values(["u", "v", "side", "doc"], ignore_index=True)
+    u, v, side = (rows[c].to_numpy() for c in ("u", "v", "side"))
+    cuts = np.flatnonzero((u[1:] != u[:-1]) | (v[1:] != v[:-1])) + 1
+    middles = np.add.reduceat(side == 0, np.append(0, cuts)) if len(rows) else []
+
+    def pairs():
+        for low, high, first in zip(
+            np.append(0, cuts), np.append(cuts, len(rows)), middles, strict=False
+        ):
+            yield u[low], v[low], (range(low, low + first), range(low + first, high))
+
+    return rows, pairs()
+
+
+def possible_docs(sides: list[tuple], same: bool) -> tuple[np.ndarray, np.ndarray]:
     """Which documents of two groups, or of one, can have a partner there.
 
-    Two documents share no more than their common prefix tokens and what stands
-    behind the last of these in either; that must reach the overlap their sizes ask.
+    A side holds the sizes, prefix tokens and places of its documents. Two documents
+    share no more than their common prefix tokens and what stands behind the last of
+    these in either; that must reach the overlap their sizes ask.
     """
-    queries, members = sides
-    sizes = members["n"].to_numpy(np.int64)
-    owner = np.repeat(np.arange(len(members)), members["tokens"].str.len())
-    tokens = np.concatenate(members["tokens"].to_numpy())
-    places = np.concatenate(members["places"].to_numpy())
+    queries, (sizes, member_tokens, member_places) = sides
+    owner = np.repeat(np.arange(len(sizes)), [len(t) for t in member_tokens])
+    tokens, places = np.concatenate(member_tokens), np.concatenate(member_places)
     turn = np.argsort(tokens, kind="stable")
     tokens, owner, places = tokens[turn], owner[turn], places[turn]
-    live = np.zeros(len(queries), dtype=bool), np.zeros(len(members), dtype=bool)
-    for i, (n, own, where) in enumerate(
-        zip(queries["n"], queries["tokens"], queries["places"], strict=True)
-    ):
+    live = np.zeros(len(queries[0]), dtype=bool), np.zeros(len(sizes), dtype=bool)
+    for i, (n, own, where) in enumerate(zip(*queries, strict=True)):
+        if same and live[1][i]:
+            continue  # its partner found it, and the bound is the same from either side
         low = np.searchsorted(tokens, own, "left")
         counts = np.searchsorted(tokens, own, "right") - low
         spots = np.repeat(low - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
         hit = owner[spots]
-        common = np.bincount(hit, minlength=len(members))
-        last, here = np.zeros(len(members), np.int64), np.zeros(len(members), np.int64)
+        common = np.bincount(hit, minlength=len(sizes))
+        last, here = np.zeros(len(sizes), np.int64), np.zeros(len(sizes), np.int64)
         np.maximum.at(last, hit, places[spots])
         np.maximum.at(here, hit, np.repeat(where, counts))
         most = common + np.minimum(n - here, sizes - last)
@@ -309,19 +324,25 @@ def possible_docs(sides: list[pd.DataFrame], same: bool) -> tuple[np.ndarray, np
             good[i] = False
         live[0][i] = good.any()
         live[1][good] = True
+    if same:
+        live[0][live[1]] = True
     return live
 
 
 def _live_rows(rows: pd.DataFrame) -> pd.DataFrame:
-    out = [rows[:0]]
-    for (u, v), pair in rows.groupby(["u", "v"], sort=False):
-        sides = [pair[pair["side"] == side] for side in (0, 1)]
+    rows, pairs = _by_pair(rows)
+    sizes = rows["n"].to_numpy(np.int64)
+    tokens, places = rows["tokens"].to_numpy(), rows["places"].to_numpy()
+    keep = np.zeros(len(rows), dtype=bool)
+    for u, v, ends in pairs:
+        sides = [(sizes[e.start : e.stop], tokens[e.start : e.stop], places[e.start : e.stop])
+                 for e in ends]
         if u == v:
-            out.append(sides[0][possible_docs([sides[0]] * 2, True)[0]])
-        elif len(sides[0]) and len(sides[1]):
-            for side, live in zip(sides, possible_docs(sides, False), strict=True):
-                out.append(side[live])
-    return pd.concat(out)[["u", "v", "side", "doc"]]
+            keep[ends[0].start : ends[0].stop] = possible_docs([sides[0]] * 2, True)[0]
+        elif ends[0] and ends[1]:
+            for end, live in zip(ends, possible_docs(sides, False), strict=True):
+                keep[end.start : end.stop] = live
+    return rows.loc[keep, ["u", "v", "side", "doc"]]
 
 
 def open_groups(queries: list, members: list, same: bool) -> list[tuple[int, int]]:
