@@ -45,7 +45,7 @@ HEAVY_MAX = 1 << 19  # frequent tokens of either kind at most (4 MB); others sta
 GROUP = 2048  # documents of a group
 BUCKET = 100_000  # prefix tokens of a bucket
 BYTES = 6  # of a word and a blank, about
-OPENED = 2_000  # documents that a task opens at a time
+OPENED = 1_000  # documents that a task opens at a time
 SLICE = 1_000  # documents hashed at a time
 
 _PACKED = "bucket int, tokens binary, docs binary, places binary"
@@ -253,14 +253,6 @@ def _shared_in_bucket(heavy):
     return run
 
 
-def _sets(batches):
-    hasher = WordHasher()
-    for batch in batches:
-        for ids, texts in _texts(batch):
-            sets = [s.tobytes() for s in shingle_sets(texts, hasher)]
-            yield pa.record_batch([ids, pa.array(sets, pa.binary())], names=["doc", "tokens"])
-
-
 class _Forest:
     """Union-find over the positions of one opened pair of groups."""
 
@@ -375,16 +367,17 @@ def open_groups(queries: list, members: list, same: bool) -> list[tuple[int, int
 
 
 def _open_bucket(rows: pd.DataFrame) -> pd.DataFrame:
+    """Links of the pairs of groups of a part. Texts travel, as they are smaller than sets."""
+    rows, pairs = _by_pair(rows.drop_duplicates(["u", "v", "side", "doc"]))
+    docs, texts = rows["doc"].to_numpy(), rows["text"].to_numpy()
+    first = ~rows["doc"].duplicated().to_numpy()
+    sets = dict(
+        zip(docs[first],
+            shingle_sets(list(texts[first]), WordHasher()), strict=True)
+    )
     links: list[tuple[int, int]] = []
-    for (u, v), pair in rows.groupby(["u", "v"], sort=False):
-        sides: list[list] = [[], []]
-        for side in (0, 1):
-            part = pair[pair["side"] == side].drop_duplicates("doc").sort_values("doc")
-            sides[side] = [
-                (d, np.frombuffer(t, np.uint64))
-                for d, t in zip(part["doc"], part["tokens"], strict=True)
-                if len(t)
-            ]
+    for u, v, ends in pairs:
+        sides = [[(docs[i], sets[docs[i]]) for i in end if len(sets[docs[i]])] for end in ends]
         if u == v and sides[0]:
             links += open_groups(sides[0], sides[0], same=True)
         elif sides[0] and sides[1]:
@@ -452,7 +445,7 @@ def _meeting_docs(shared: DataFrame, sizes: DataFrame) -> DataFrame:
         .distinct(),
         "ngram-opened",
     )
-    parts = max(1, -(-opened.count() // (4 * OPENED)))
+    parts = max(1, -(-opened.count() // (8 * OPENED)))
     entries = (
         placed.groupBy("doc", "n")
         .agg(F.sort_array(F.collect_list(F.struct("place", "token"))).alias("entries"))
@@ -490,13 +483,12 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     )
     opened = cut(_meeting_docs(cut(shared, "ngram-shared"), sizes), "ngram-live")
     wanted = opened.select("doc").distinct()
-    sets = (
-        docs.join(wanted, docs["doc_id"] == wanted["doc"], "left_semi")
-        .mapInArrow(_sets, "doc long, tokens binary")
+    texts = docs.join(wanted, docs["doc_id"] == wanted["doc"], "left_semi").select(
+        F.col("doc_id").alias("doc"), F.col("text").cast("binary").alias("text")
     )
     parts = max(1, -(-opened.count() // OPENED))
     links = (
-        opened.join(sets, "doc")
+        opened.join(texts, "doc")
         .withColumn("part", F.pmod(F.xxhash64("u", "v"), F.lit(parts)))
         .groupBy("part")
         .applyInPandas(_open_bucket, "a long, b long")
