@@ -349,7 +349,8 @@ def open_groups(queries: list, members: list, same: bool) -> list[tuple[int, int
     tokens, owners = tokens[turn], owners[turn]
     union = np.unique(tokens)
     sizes = np.array([len(s) for _, s in members])
-    forest = _Forest(len(members) + (0 if same else len(queries)))
+    apart = len(members) + (0 if same else len(queries))
+    forest = _Forest(apart)
     links = []
     for i, (doc, own) in enumerate(queries):
         if not same and 100 * overlap(own, union) < 80 * len(own):
@@ -361,8 +362,11 @@ def open_groups(queries: list, members: list, same: bool) -> list[tuple[int, int
         hits = np.flatnonzero(100 * inter >= 80 * (sizes + len(own) - inter))
         me = i if same else len(members) + i
         for j in hits:
-            if (not same or j < i) and forest.join(me, int(j)):
+            if forest.join(me, int(j)):
                 links.append((doc, members[j][0]))
+                apart -= 1
+        if apart == 1:
+            break  # all are one component
     return links
 
 
