@@ -35,7 +35,6 @@ THRESHOLD = 0.7
 FOLDS, HELD_OUT = 3, 1
 RATIO = 8.0  # a toxic word's share of toxic documents against that of others
 SEEN = 3  # documents that a feature stands in
-COMMON = 0.04  # share of toxic documents that a toxic feature stands in
 SURPRISE = 3.5  # standard deviations that its toxic documents exceed chance by
 PREFIXES = (4, 5)  # leading bytes of a word that are features, too
 STEPS = 40
@@ -158,7 +157,8 @@ def fit(texts: list[bytes], labels: np.ndarray) -> Field | None:
     toxic = labels == 1
     share, other = (in_toxic + 0.1) / toxic.sum(), (in_plain + 0.1) / (~toxic).sum()
     chance = (in_toxic + in_plain) * toxic.mean()
-    telling = (in_toxic >= max(SEEN, COMMON * toxic.sum())) & (share >= RATIO * other) & (words > 0)
+    # No least share of all toxic documents: a small language's words stand in few of them.
+    telling = (in_toxic >= SEEN) & (share >= RATIO * other) & (words > 0)
     telling &= in_toxic - chance >= SURPRISE * np.sqrt(chance + 1)
     truth = (telling[index].any(axis=1) & toxic[owner]).astype(float)
     known = (in_toxic + in_plain >= SEEN) & (words > 0)

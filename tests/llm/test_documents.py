@@ -136,6 +136,22 @@ def test_toxicity_finds_spans_and_leaves_clean_texts(spark):
     assert {r.score for r in toxicity.score_toxicity(docs, None).collect()} == {0.0}
 
 
+def test_toxic_words_of_a_small_language_are_learnt():
+    texts, labels = [], []
+    for i in range(1200):
+        bad = "" if i % 4 else " rotten " if i % 120 else " réeuxlich "  # 290 and 10 documents
+        texts.append(f"{words(i, 40)}{bad}{words(i + 7000, 20)}".encode())
+        labels.append(int(i % 4 == 0))
+    field = toxicity.fit(texts, np.array(labels))
+    text = f"{words(1, 30)} réeuxlich {words(2, 30)}".encode()
+    score, spans = toxicity.score_texts(
+        field, [text, words(3, 60).encode()],
+        toxicity.WordHasher(toxicity.SEPARATORS, toxicity.PREFIXES),
+    )
+    assert [text[s["start"] : s["end"]].decode() for s in spans[0]] == ["réeuxlich"]
+    assert score[0] >= toxicity.THRESHOLD > score[1] and spans[1] == []
+
+
 def test_chain_ratios_equal_a_plain_loop():
     rng = np.random.default_rng(1)
     a, b, c, d = rng.uniform(0.1, 3, (4, 5000))
