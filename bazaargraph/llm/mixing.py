@@ -93,7 +93,7 @@ def _solve(cells: DataFrame, sources: DataFrame) -> DataFrame:
     state = cut(
         sources.join(moments, "place").select(
             "place", wanted.alias("target"),
-            (F.col("square") / F.col("source_size")).alias("scale"),
+            F.try_divide("square", "source_size").alias("scale"),
             (wanted < F.col("source_size") * float(CAP)).alias("open"),
             F.when(F.col("source_size") > 0, F.log(wanted / F.col("source_size"))).alias("dual"),
             F.lit(-1e6).alias("low"), F.lit(1e6).alias("high"), F.lit(False).alias("done"),
@@ -119,7 +119,9 @@ def _solve(cells: DataFrame, sources: DataFrame) -> DataFrame:
         over = F.col("words") > F.col("target")
         low = F.when(over, F.col("low")).otherwise(F.col("dual"))
         high = F.when(over, F.col("dual")).otherwise(F.col("high"))
-        newton = F.col("dual") - F.log(F.col("words") / F.col("target")) * F.col("words") / F.col("slope")
+        # A slope of 0, with all documents at the cap, makes a null: the bracket is halved.
+        step = F.try_divide(F.log(F.col("words") / F.col("target")) * F.col("words"), F.col("slope"))
+        newton = F.col("dual") - step
         inside = F.coalesce((newton > low) & (newton < high), F.lit(False))
         close = F.abs(F.col("words") - F.col("target")) <= CLOSE * F.col("target")
         still = F.col("words").isNotNull()

@@ -97,6 +97,25 @@ def test_mix_meets_targets(spark):
     assert dict(zip(mixed["doc_id"], mixed["copies"])) == dict(zip(again["doc_id"], again["copies"]))
 
 
+def test_mix_of_far_apart_sizes_and_an_empty_source(spark):
+    # A Newton step puts all of s0 at the cap, where the slope is 0; s2 has no words.
+    sizes = [10] * 1000 + [1000] * 10 + [20] * 689 + [0] * 5
+    source = ["s0"] * 1010 + ["s1"] * 689 + ["s2"] * 5
+    docs = [
+        (i, "w " * n, None, s, None, 0.0, "") for i, (n, s) in enumerate(zip(sizes, source))
+    ]
+    mixed = mixing.mix_sources(frame(spark, docs)).toPandas()
+    assert mixed["copies"].between(0, 2).all() and len(mixed) == len(docs)
+    targets = {"s0": 0.75 * 1.5 * 33_780, "s1": 0.25 * 1.5 * 33_780, "s2": 0.0}
+    for name, part in mixed.groupby("source"):
+        assert part["target"].iloc[0] == pytest.approx(targets[name])
+        assert 0 <= targets[name] - part["taken"].sum() < 20
+    # The tilt favours long documents: they are all at the cap, the short ones just below it.
+    s0 = mixed[mixed["source"] == "s0"]
+    assert (s0.loc[s0["size"] == 1000, "copies"] == 2).all()
+    assert s0.loc[s0["size"] == 10, "copies"].sum() == 1800
+
+
 def test_mix_of_awkward_rows(spark):
     mixed = rows_of(mixing.mix_sources(frame(spark)).select("doc_id", "size"))
     expected = [(r[0], len(SPACE_WORD.findall(r[1] or ""))) for r in awkward()]
