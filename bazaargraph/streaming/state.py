@@ -23,6 +23,7 @@ from functools import reduce
 from operator import and_
 from uuid import uuid4
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType, TimestampType
@@ -147,13 +148,25 @@ class GraphState:
         found = Manifest.from_json(read_text(self.spark, self._manifest_path))
         folders = [p.name for p in (found.snapshot, *found.parts) if p is not None]
         if folders and not found.actions:  # written before actions were recorded
-            files = self.spark.read.option("mergeSchema", True).parquet(
-                *(f"{self.path}/edges/{name}" for name in folders)
-            )
-            others = ("src", "dst", "score", "last_interaction")
-            found = replace(found, actions=tuple(c for c in files.columns if c not in others))
+            found = replace(found, actions=self._stored_actions(folders))
         return found
 
+    def _stored_actions(self, folders: Sequence[str]) -> tuple[str, ...]:
+        files = self.spark.read.option("mergeSchema", True).parquet(
+            *(f"{self.path}/edges/{name}" for name in folders)
+        )
+        others = ("src", "dst", "score", "last_interaction")
+        return tuple(c for c in files.columns if c not in others)
+
+    def _known_actions(self) -> tuple[str, ...]:
+        """The actions of the manifest or, if it can't be read, of all stored folders."""
+        try:
+            if actions := self.manifest().actions:
+                return actions
+        except (ValueError, KeyError, TypeError, AnalysisException):
+            pass
+        return self._stored_actions(["*"]) if exists(self.spark, f"{self.path}/edges") else ()
+
     def open(self, load: bool = True) -> GraphState:
         """Create what is missing. With ``load=False`` the state starts empty."""
         if not load or not exists(self.spark, self._manifest_path):
@@ -327,20 +340,22 @@ class GraphState:
         """Make the state anew from the raw log, counting every row as live batches do.
 
         Needs ``keep_raw`` from the first epoch on. It replaces whatever the state was,
-        a damaged manifest, too.
+        a damaged manifest, too. Every action counted before is counted again, whatever the
+        weights are now.
         """
         edges, vertices = self.raw_log()
         epochs, last = vertices.agg(F.count_distinct("epoch_id"), F.max("epoch_id")).first()
         if not epochs:
             self._commit(Manifest())
             return
+        counted = dict.fromkeys((*self._known_actions(), *self.weights), 0.0)
         part = self._store(
-            edge_partials(edges, self.weights).sortWithinPartitions("src", "dst"),
+            edge_partials(edges, counted).sortWithinPartitions("src", "dst"),
             latest_vertices(vertices).sortWithinPartitions("id"),
             last,
             merged=True,
         )
-        self._commit(Manifest(epochs, last, snapshot=part, actions=tuple(self.weights)))
+        self._commit(Manifest(epochs, last, snapshot=part, actions=tuple(counted)))
 
     def merge_parts(self) -> None:
         """Merge the partials since the snapshot into one and leave the snapshot alone."""

@@ -207,3 +207,16 @@ def test_rebuilding_from_the_log(spark, path):
     assert rows(state.load()[0]) == FOLD_EDGES
     assert rows(state.load()[1]) == FOLD_VERTICES
     assert (state.manifest().batch_count, state.manifest().last_epoch_id) == (2, 1)
+
+
+@pytest.mark.parametrize("manifest", ["kept", "damaged"])
+def test_rebuilding_with_few_weights_keeps_all_counts(spark, path, manifest):
+    state = GraphState(spark, path, keep_raw=True).open()
+    for epoch, texts in ((0, FOLD[:3]), (1, FOLD[3:])):
+        state.apply_batch(*batch(spark, texts), epoch)
+    actions = set(state.manifest().actions)
+    if manifest == "damaged":
+        workspace.replace_text(spark, f"{path}/manifest.json", "{")
+    GraphState(spark, path, weights={"ACHAT": 20}, keep_raw=True).rebuild()
+    assert set(state.manifest().actions) == actions
+    assert rows(state.load()[0]) == FOLD_EDGES
