@@ -14,6 +14,7 @@ from bazaargraph.llm import (
     ngram_join,
     pieces,
     quality,
+    quality_rules,
     toxicity,
     url_filter,
 )
@@ -86,6 +87,11 @@ def op10_hamming_search(read) -> DataFrame:
     return hamming_search.nearest_codes(read("embeddings"))
 
 
+@_query
+def op13_quality_rules(read) -> DataFrame:
+    return quality_rules.check_quality(read("documents"))
+
+
 def _lowered(column: str) -> str:
     return f"translate({column}, '{url_filter.UPPER}', '{url_filter.LOWER}')"
 
@@ -186,8 +192,60 @@ ranked AS (
 SELECT query_id, rank, vec_id, distance FROM ranked WHERE rank <= {hamming_search.NEAREST}
 """
 
+_PHRASES = " OR ".join(f"contains(x.low, '{phrase}')" for phrase in quality_rules.BOILERPLATE)
+
+_RULES_SQL = f"""
+WITH texts AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all(coalesce(text, ''), '{quality_rules.WORDY}+') AS w,
+    len(regexp_extract_all(coalesce(text, ''), '{quality_rules.SYMBOLS}')) AS n_symbols,
+    list_filter(string_split(coalesce(text, ''), chr(10)),
+      lambda x: regexp_matches(x, '{quality_rules.WORDY}')) AS lines
+  FROM documents),
+windows AS (
+  SELECT r, unnest(w) AS a, unnest(w[2:]) AS b, unnest(w[3:]) AS c, unnest(range(len(w))) AS place
+  FROM texts),
+repeated AS (
+  SELECT r, place, count(*) OVER (PARTITION BY r, a, b, c) AS times FROM windows WHERE c IS NOT NULL),
+covered AS (
+  SELECT r, count(DISTINCT place + step) AS n FROM repeated, (VALUES (0), (1), (2)) s(step)
+  WHERE times > 1 GROUP BY r),
+measured AS (
+  SELECT r, list_transform(list_distinct(lines), lambda x: {{
+    'line': x, 'low': lower(x), 'words': regexp_extract_all(x, '{quality_rules.WORDY}+'),
+    'symbols': len(regexp_extract_all(x, '{quality_rules.SYMBOLS}+')),
+    'shouts': len(regexp_extract_all(x, '{quality_rules.SHOUT}'))}}) AS lines
+  FROM texts),
+cleaned AS (
+  SELECT r, list_filter(lines, lambda x: NOT (
+    x.symbols * {quality_rules.SHARE} > len(x.words) OR x.shouts * {quality_rules.SHARE} > len(x.words)
+    OR NOT regexp_matches(x.line, '{quality_rules.MARK}')
+    OR (len(list_filter(x.words, lambda y: y IN {quality_rules.SEPARATORS})) > 0
+      AND len(list_filter(x.words, lambda y: y IN {quality_rules.SEPARATORS})) * {quality_rules.ITEMS}
+        >= len(x.words))
+    OR (len(x.words) <= {quality_rules.ENTRY_WORDS} AND regexp_matches(x.low, '{quality_rules.ENTRY}'))
+    OR {_PHRASES})) AS lines
+  FROM measured),
+counted AS (
+  SELECT doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+    n_symbols::BIGINT AS n_symbols,
+    (len(texts.lines) - len(list_distinct(texts.lines)))::BIGINT AS n_dup_lines,
+    coalesce(n, 0)::BIGINT AS n_repeat_words, len(texts.lines)::BIGINT AS n_lines,
+    len(cleaned.lines)::BIGINT AS n_lines_left,
+    length(array_to_string(flatten(list_transform(cleaned.lines, lambda x: x.words)), '')) AS chars
+  FROM texts JOIN cleaned USING (r) LEFT JOIN covered USING (r)),
+judged AS (
+  SELECT *, n_words < {quality_rules.LEAST_WORDS}
+    OR 100 * n_repeat_words > {quality_rules.MOST_REPEATED} * n_words AS base_failed
+  FROM counted)
+SELECT * EXCLUDE (chars),
+  NOT base_failed AND 100 * coalesce(chars, 0) >= {quality_rules.LEAST_LEFT} * word_chars AS kept
+FROM judged
+"""
+
 ORACLE = {
     "op7_url_filter": _URL_SQL,
     "op9_license_scan": _LICENSE_SQL,
     "op10_hamming_search": _HAMMING_SQL,
+    "op13_quality_rules": _RULES_SQL,
 }
