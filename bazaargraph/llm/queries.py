@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from bazaargraph.llm import (
     embedding_dedup,
     hamming_search,
+    hard_negatives,
     language,
     license_scan,
     mixing,
@@ -15,6 +16,7 @@ from bazaargraph.llm import (
     pieces,
     quality,
     quality_rules,
+    source_divergence,
     toxicity,
     url_filter,
 )
@@ -87,6 +89,16 @@ def op10_hamming_search(read) -> DataFrame:
     return hamming_search.nearest_codes(read("embeddings"))
 
 
+@_query
+def op11_source_divergence(read) -> DataFrame:
+    return source_divergence.audit_sources(read("documents"))
+
+
+@_query
+def op12_hard_negatives(read) -> DataFrame:
+    return hard_negatives.mine_negatives(read("embeddings"))
+
+
 @_query
 def op13_quality_rules(read) -> DataFrame:
     return quality_rules.check_quality(read("documents"))
@@ -192,6 +204,73 @@ ranked AS (
 SELECT query_id, rank, vec_id, distance FROM ranked WHERE rank <= {hamming_search.NEAREST}
 """
 
+_DIVERGENCE_SQL = f"""
+WITH texts AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all({_lowered("coalesce(text, '')")}, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w
+  FROM documents),
+found AS (SELECT r, lang, source, unnest(w) AS term FROM texts),
+terms AS (
+  SELECT lang, term, count(*) AS total FROM found GROUP BY ALL
+  HAVING count(DISTINCT r) >= {source_divergence.LEAST_DOCS}),
+langs AS (SELECT lang, count(*) AS v, sum(total)::BIGINT AS of_lang FROM terms GROUP BY lang),
+cells AS (
+  SELECT lang, source, term, count(*) AS n FROM found JOIN terms USING (lang, term) GROUP BY ALL),
+sizes AS (SELECT lang, source, sum(n)::BIGINT AS of_group FROM cells GROUP BY ALL),
+groups AS (
+  SELECT DISTINCT lang, source, coalesce(of_group, 0) AS of_group
+  FROM texts LEFT JOIN sizes USING (lang, source)),
+rated AS (
+  SELECT lang, source, term, coalesce(n, 0) AS n,
+    1 + {source_divergence.SCALE} * (coalesce(n, 0) + 1) // (of_group + v) AS p,
+    1 + {source_divergence.SCALE} * (total + 1) // (of_lang + v) AS q
+  FROM groups JOIN langs USING (lang) JOIN terms USING (lang)
+  LEFT JOIN cells USING (lang, source, term)),
+sums AS (
+  SELECT a.lang, a.source, b.source AS item,
+    sum((a.p - b.p) * (a.p - b.p) // b.p)::BIGINT AS value
+  FROM rated a JOIN rated b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+  GROUP BY ALL),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+tops AS (
+  SELECT lang, source, term AS item, (p - q) * (p - q) // q AS value
+  FROM rated WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT *, 'pair' AS part FROM pairs UNION ALL SELECT *, 'term' FROM tops)
+SELECT lang, source, part, item, value::BIGINT AS value,
+  row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank
+FROM ranked QUALIFY part = 'pair' OR rank <= {source_divergence.RANKS}
+"""
+
+_NEGATIVES_SQL = f"""
+WITH vectors AS (
+  SELECT DISTINCT vec_id,
+    CASE WHEN vec_id % {hard_negatives.MOVED_STEP} = 0
+      THEN (label + 1) % {hard_negatives.LABELS} ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS vector
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS alike,
+    list_sum(list_transform(list_zip(a.vector, b.vector), lambda z: z[1] * z[2]))::BIGINT AS score
+  FROM vectors a JOIN vectors b ON a.vec_id <> b.vec_id AND len(a.vector) = len(b.vector)
+  WHERE a.vec_id % {hard_negatives.ANCHOR_STEP} = 0),
+positives AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE alike
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id)
+    <= {hard_negatives.NEAREST})
+SELECT anchor_id, positive_id, other_id AS negative_id, positive_score, score AS negative_score,
+  row_number() OVER (
+    PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id)::INTEGER AS rank
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT alike AND 80 * positive_score <= 100 * score AND score <= positive_score
+QUALIFY rank <= {hard_negatives.NEAREST}
+"""
+
 _PHRASES = " OR ".join(f"contains(x.low, '{phrase}')" for phrase in quality_rules.BOILERPLATE)
 
 _RULES_SQL = f"""
@@ -247,5 +326,7 @@ ORACLE = {
     "op7_url_filter": _URL_SQL,
     "op9_license_scan": _LICENSE_SQL,
     "op10_hamming_search": _HAMMING_SQL,
+    "op11_source_divergence": _DIVERGENCE_SQL,
+    "op12_hard_negatives": _NEGATIVES_SQL,
     "op13_quality_rules": _RULES_SQL,
 }
