@@ -40,7 +40,7 @@ RANKS = 200
 
 PIECE = 1 << 20  # bytes of a text split at a time
 ROWS = 1 << 17  # document terms collected before they are merged and sent
-CELLS = 1 << 16  # (source, term) counts of a block, on average
+CELLS = 1 << 13  # (source, term) counts of a block, on average
 TILE = 1 << 21  # sources times terms held as a matrix at a time
 
 _TABLE = bytes(
