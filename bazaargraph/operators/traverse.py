@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bazaargraph.functions.columns import strongest_first
+from bazaargraph.operators import many
 from bazaargraph.operators.lookup import endpoint_ids, vertices_of
 from bazaargraph.operators.rank import top_edges, top_per_group
 from bazaargraph.workspace import ROW_OVERHEAD, cut, fits_broadcast, measure
@@ -81,8 +82,23 @@ class _Ids:
         )
 
 
-def _incident(edges: DataFrame, ids: _Ids, direction: Direction) -> DataFrame:
-    """Incident edges. One scan of the edges, and no deduplication."""
+def _incident(
+    edges: DataFrame, ids: _Ids, direction: Direction, reverse: DataFrame | None = None
+) -> DataFrame:
+    """Incident edges, without deduplication.
+
+    One scan of the edges, or with ``reverse``, the same edges laid out by destination, a
+    scan of each for what it is laid out by.
+    """
+    if reverse is not None and direction != "out":
+        arriving = _incident(reverse, ids, "in")
+        if direction == "in":
+            return arriving
+        known = ids.table.select(F.col("id").alias("_src"))
+        known = F.broadcast(known) if fits_broadcast(ids.size) else known
+        # Those that leave the ids, too, are in the other scan.
+        arriving = arriving.join(known, F.col("src") == F.col("_src"), "left_anti")
+        return _incident(edges, ids, "out").unionByName(arriving)
     if fits_broadcast(ids.size):
         return edges.filter(_touches(F.broadcast(ids.table), direction))
     near_src = ids.table.select(F.col("id").alias("_src"))
@@ -93,13 +109,21 @@ def _incident(edges: DataFrame, ids: _Ids, direction: Direction) -> DataFrame:
         return edges.join(near_src, at_src, "left_semi")
     if direction == "in":
         return edges.join(near_dst, at_dst, "left_semi")
-    # The ids are distinct, so the two look-ups leave one row per edge.
-    return (
-        edges.join(near_src, at_src, "left")
-        .join(near_dst, at_dst, "left")
-        .filter(F.col("_src").isNotNull() | F.col("_dst").isNotNull())
-        .drop("_src", "_dst")
-    )
+    arriving = edges.join(near_dst, at_dst, "left_semi").join(near_src, at_src, "left_anti")
+    return edges.join(near_src, at_src, "left_semi").unionByName(arriving)
+
+
+def _given(
+    edges: DataFrame, ids: Sequence[str], direction: Direction, reverse: DataFrame | None
+) -> DataFrame:
+    """Edges incident to literal ids, which become filters that reach the scans."""
+    if reverse is None or direction == "out":
+        return edges.filter(_touches(ids, direction))
+    arriving = reverse.filter(_touches(ids, "in"))
+    if direction == "in":
+        return arriving
+    left = F.coalesce(_touches(ids, "out"), F.lit(False))
+    return edges.filter(_touches(ids, "out")).unionByName(arriving.filter(~left))
 
 
 def incident_edges(
@@ -138,6 +162,7 @@ def _ego(
     hops: int,
     min_score: float | None,
     direction: Direction,
+    reverse: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(edges of the ego graph, ids of all nodes it reaches)."""
     _check(direction)
@@ -148,6 +173,8 @@ def _ego(
 
     pool = strong_enough(edges, min_score)
     pairs = pool.select("src", "dst")
+    back = None if reverse is None else strong_enough(reverse, min_score)
+    back_pairs = None if back is None else back.select("src", "dst")
     if literal:
         seen = _Ids.given(spark, seeds)
     else:
@@ -155,9 +182,9 @@ def _ego(
     frontier = seen
     for hop in range(1, hops):
         if literal and hop == 1:
-            incident = pairs.filter(_touches(seeds, direction))
+            incident = _given(pairs, seeds, direction, back_pairs)
         else:
-            incident = _incident(pairs, frontier, direction)
+            incident = _incident(pairs, frontier, direction, back_pairs)
         frontier = _Ids.stored(next_frontier(incident, seen.table, direction))
         if frontier.rows == 0:
             break
@@ -165,9 +192,9 @@ def _ego(
 
     # Literal seeds of a single hop become a filter that reaches the scan.
     if literal and hops == 1:
-        found = pool.filter(_touches(seeds, direction))
+        found = _given(pool, seeds, direction, back)
     else:
-        found = _incident(pool, seen, direction)
+        found = _incident(pool, seen, direction, back)
     ends = found.select(F.explode(F.array("src", "dst")).alias("id"))
     return found, ends.unionByName(seen.table).distinct()
 
@@ -181,14 +208,16 @@ def ego_subgraph(
     min_score: float | None = None,
     direction: Direction = "both",
     max_edges: int | None = None,
+    reverse: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(edges, vertices) within ``hops`` of any seed.
 
     ``seeds`` is a DataFrame with ``id`` or a few literal ids. Edges between two
     nodes first reached at the last hop are not part of it. ``max_edges`` keeps
-    the strongest edges; the vertices stay all those reached.
+    the strongest edges; the vertices stay all those reached. ``reverse`` may give
+    the same edges in a layout by destination, which look-ups by ``dst`` then use.
     """
-    found, reached = _ego(spark, seeds, edges, hops, min_score, direction)
+    found, reached = _ego(spark, seeds, edges, hops, min_score, direction, reverse)
     if max_edges is not None:
         found = top_edges(found, max_edges)
     return found, vertices_of(vertices, reached)
@@ -202,12 +231,14 @@ def node_neighbors(
     min_score: float | None = None,
     direction: Direction = "both",
     max_edges: int | None = None,
+    reverse: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Ego graph of one node; both results are empty for an unknown node."""
     if vertices.filter(F.col("id") == node_id).isEmpty():
         return edges.limit(0), vertices.limit(0)
     return ego_subgraph(
-        edges.sparkSession, [node_id], edges, vertices, hops, min_score, direction, max_edges
+        edges.sparkSession, [node_id], edges, vertices, hops, min_score, direction, max_edges,
+        reverse,
     )
 
 
@@ -219,6 +250,7 @@ def edge_context(
     hops: int = 1,
     min_score: float | None = None,
     max_edges: int | None = None,
+    reverse: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Surroundings of one edge, always with the edge itself.
 
@@ -228,7 +260,7 @@ def edge_context(
     selected = edges.filter(is_edge)
     if selected.isEmpty():
         raise ValueError(f"no edge from {src} to {dst}")
-    found, _ = _ego(edges.sparkSession, [src, dst], edges, hops, min_score, "both")
+    found, _ = _ego(edges.sparkSession, [src, dst], edges, hops, min_score, "both", reverse)
     # State has one row per pair, so leaving the edge out and adding it back
     # makes a set union without a shuffle.
     found = found.filter(~is_edge).unionByName(selected)
@@ -237,10 +269,8 @@ def edge_context(
     return found, vertices_of(vertices, endpoint_ids(found))
 
 
-def _incident_per_seed(
-    near: DataFrame, edges: DataFrame, direction: Direction, one_hop: bool
-) -> DataFrame:
-    """``seed_id`` with every edge at the ``(seed_id, id)`` nodes, each pair once."""
+def _incident_per_seed(near: DataFrame, edges: DataFrame, direction: Direction) -> DataFrame:
+    """``seed_id`` with every edge at its seed, each pair once."""
     at_src = edges.join(near, F.col("src") == F.col("id"))
     at_dst = edges.join(near, F.col("dst") == F.col("id"))
     columns = ["seed_id", *edges.columns]
@@ -248,12 +278,9 @@ def _incident_per_seed(
         return at_src.select(columns)
     if direction == "in":
         return at_dst.select(columns)
-    if one_hop:
-        # The only near node is the seed, so only a loop can be met twice.
-        at_dst = at_dst.filter(F.col("src") != F.col("dst"))
-        return at_src.select(columns).unionByName(at_dst.select(columns))
-    both = at_src.select(columns).unionByName(at_dst.select(columns))
-    return both.dropDuplicates(["seed_id", "src", "dst"])
+    # The only near node is the seed, so only a loop can be met twice.
+    at_dst = at_dst.filter(F.col("src") != F.col("dst"))
+    return at_src.select(columns).unionByName(at_dst.select(columns))
 
 
 def ego_per_seed(
@@ -268,32 +295,28 @@ def ego_per_seed(
     """The ego graph of every seed in one job, marked by ``seed_id``.
 
     Seeds without a vertex row give nothing, as for a single node. The result is
-    as large as all the single ego graphs together. ``max_edges`` applies to each
-    seed.
+    as large as all the single ego graphs together; over several hops the walk itself
+    carries a bit for each seed and node. ``max_edges`` applies to each seed.
     """
     _check(direction)
-    start = vertices_of(vertices, seeds.select("id").distinct())
-    seen = start.select(F.col("id").alias("seed_id"), "id")
+    start = vertices_of(vertices, seeds.select("id").distinct()).select("id")
     pool = strong_enough(edges, min_score)
     if hops <= 0:
         found = edges.limit(0).select(F.lit("").alias("seed_id"), "*")
-        reached = seen
-    else:
-        pairs = pool.select("src", "dst")
-        frontier = seen
-        for _ in range(1, hops):
-            far = (
-                _incident_per_seed(frontier, pairs, direction, one_hop=False)
-                .select("seed_id", _far_ends(direction).alias("id"))
-                .distinct()
-            )
-            frontier = cut(far.join(seen, ["seed_id", "id"], "left_anti"), "frontier")
-            if frontier.isEmpty():
-                break
-            seen = seen.unionByName(frontier)
-        found = _incident_per_seed(seen, pool, direction, one_hop=hops == 1)
+        reached = start.select(F.col("id").alias("seed_id"), "id")
+    elif hops == 1:
+        near = cut(start, "seeds").select(F.col("id").alias("seed_id"), "id")
+        found = _incident_per_seed(near, pool, direction)
         ends = found.select("seed_id", F.explode(F.array("src", "dst")).alias("id"))
-        reached = ends.union(seen).distinct()
+        reached = ends.union(near).distinct()
+    else:
+        numbered = many.number_seeds(start)
+        seen = many.reach(numbered, pool.select("src", "dst"), hops - 1, direction)
+        masked = many.masked_edges(seen, pool, direction)
+        found = many.per_seed(masked, numbered)
+        ends = masked.select(F.explode(F.array("src", "dst")).alias("id"), "_block", *many.MASKS)
+        nodes = many.merged(ends.unionByName(seen), "id", "_block")
+        reached = many.per_seed(nodes, numbered)
     if max_edges is not None:
         found = top_per_group(
             found, ["seed_id"], strongest_first(), max_edges, spread=["src", "dst"]

@@ -164,6 +164,19 @@ each AS (
 )"""
 
 # Two hops around each popular product.
+# Edges at a seed's neighbours. The best one of those at a node is enough, as any of a seed's
+# best edges is the best one of the neighbour where it lies.
+EACH_NODE_TWICE = f""",
+near AS (
+  SELECT seed_id, src AS id FROM each UNION SELECT seed_id, dst FROM each
+  UNION SELECT id, id FROM vt),
+strongest AS (
+  SELECT seed_id AS id, src, dst FROM each
+  QUALIFY row_number() OVER (PARTITION BY seed_id ORDER BY {STRONGEST}) = 1),
+twice AS (
+  SELECT DISTINCT n.seed_id, s.* FROM near n JOIN strongest b USING (id)
+  JOIN st s ON s.src = b.src AND s.dst = b.dst)"""
+
 EACH_POPULAR = """,
 hop1 AS (
   SELECT p.id AS seed_id, s.src, s.dst FROM popular p JOIN st s ON p.id IN (s.src, s.dst)
@@ -345,6 +358,11 @@ roles AS (
         f" (PARTITION BY seed_id ORDER BY {STRONGEST}) <= 3",
     ),
     "multi_seed_ego_h2": _with(GRAPH + POPULAR + EACH_POPULAR, "SELECT * FROM each"),
+    "multi_seed_ego_h2_best": _with(
+        GRAPH + EACH_NODE + EACH_NODE_TWICE,
+        f"SELECT * FROM twice QUALIFY row_number() OVER"
+        f" (PARTITION BY seed_id ORDER BY {STRONGEST}) = 1",
+    ),
     "edge_context_edges": _with(_context(1), CONTEXT_EDGES),
     "edge_context_vertices": _with(_context(1), CONTEXT_VERTICES),
     "edge_context_h2": _with(_context(2, min_score=20), CONTEXT_EDGES),
@@ -453,6 +471,17 @@ FROM ed""",
     "state_after_snapshot": STATE,
     "snapshot_other_weights": STATE,
     "rebuilt_state": STATE,
+    "bucketed_edges": STATE,
+    "bucketed_vertices": ALL_VERTICES,
+    "bucketed_snapshot": STATE,
+    "bucketed_reverse_edges": STATE,
+    "bucketed_stats": _with(
+        GRAPH,
+        """SELECT (SELECT count(*) FROM vt) AS vertices, (SELECT count(*) FROM st) AS edges,
+  CAST(3 AS BIGINT) AS batch_count, CAST(2 AS BIGINT) AS last_epoch_id""",
+    ),
+    "bucketed_ego_h2": _ego_edges(hops=2),
+    "bucketed_ego_in": _ego_edges(node=PRODUCT, hops=2, direction="in"),
     "stream_graph_state": STATE,
     "stream_window_revenue": _windows("minute"),
 }

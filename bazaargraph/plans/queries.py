@@ -17,6 +17,7 @@ from bazaargraph.session import apply_conf
 from bazaargraph.sources import events as messages
 from bazaargraph.sources import sinks, warehouse
 from bazaargraph.streaming import streams
+from bazaargraph.streaming.bucketed import BucketedGraphState
 from bazaargraph.streaming.state import GraphState
 from bazaargraph.workspace import read_table, scratch_path
 
@@ -278,6 +279,13 @@ def multi_seed_ego_h2(spark, sf_dir):
     return _zoneless(traverse.ego_per_seed(seeds, edges, vertices, hops=2)[0])
 
 
+@query
+def multi_seed_ego_h2_best(spark, sf_dir):
+    """Two hops around every vertex, the strongest edge of each."""
+    edges, vertices = _stored(spark, sf_dir)
+    return _zoneless(traverse.ego_per_seed(vertices, edges, vertices, hops=2, max_edges=1)[0])
+
+
 def _context(name, what, strongest=True, **arguments):
     """Context of the strongest edge, or of the weakest, which only a cap's pin keeps."""
 
@@ -506,6 +514,66 @@ def snapshot_other_weights(spark, sf_dir):
     return _zoneless(_halves(spark, sf_dir, state, narrow))
 
 
+def _bucketed(spark: SparkSession, sf_dir: str, **settings) -> BucketedGraphState:
+    """Days in three epochs, with a snapshot of the buckets touched after the second."""
+    state = BucketedGraphState(spark, scratch_path(spark, "state"), reverse=True, **settings).open()
+    events = warehouse.graph_events(spark, sf_dir)
+    for epoch in range(3):
+        third = events.where(F.pmod(_day(), F.lit(3)) == epoch)
+        state.apply_batch(*build.build_graph(third), epoch)
+        if epoch == 1:
+            state.snapshot()
+    return state
+
+
+@query
+def bucketed_edges(spark, sf_dir):
+    """State in buckets, recent parts merged in place when read."""
+    return _zoneless(_bucketed(spark, sf_dir).load()[0])
+
+
+@query
+def bucketed_vertices(spark, sf_dir):
+    return _bucketed(spark, sf_dir).load()[1]
+
+
+@query
+def bucketed_snapshot(spark, sf_dir):
+    """Compacted twice, each time only where something was added."""
+    state = _bucketed(spark, sf_dir)
+    state.snapshot()
+    return _zoneless(state.load()[0])
+
+
+@query
+def bucketed_reverse_edges(spark, sf_dir):
+    """The same edges from the copy laid out by destination."""
+    return _zoneless(_bucketed(spark, sf_dir).reverse_edges())
+
+
+@query
+def bucketed_stats(spark, sf_dir):
+    state = _bucketed(spark, sf_dir)
+    state.merge_parts()
+    return state.stats()
+
+
+def _bucketed_walk(name, node, **arguments):
+    def run(spark, sf_dir):
+        state = _bucketed(spark, sf_dir)
+        found = traverse.node_neighbors(
+            node, *state.load(), reverse=state.reverse_edges(), **arguments
+        )
+        return _zoneless(found[0])
+
+    run.__name__ = name
+    return query(run)
+
+
+_bucketed_walk("bucketed_ego_h2", NODE, hops=2)
+_bucketed_walk("bucketed_ego_in", PRODUCT, hops=2, direction="in")
+
+
 @query
 def rebuilt_state(spark, sf_dir):
     """The state made anew from its raw log, by a reader with fewer weights."""

@@ -142,6 +142,10 @@ class GraphState:
     def _manifest_path(self) -> str:
         return f"{self.path}/manifest.json"
 
+    def _blank(self) -> Manifest:
+        """The manifest of a state without batches."""
+        return Manifest()
+
     def manifest(self) -> Manifest:
         if not exists(self.spark, self._manifest_path):
             return Manifest()
@@ -170,7 +174,7 @@ class GraphState:
     def open(self, load: bool = True) -> GraphState:
         """Create what is missing. With ``load=False`` the state starts empty."""
         if not load or not exists(self.spark, self._manifest_path):
-            self._commit(Manifest())
+            self._commit(self._blank())
         if self.keep_raw:
             ensure_table(self.spark, self.raw_edges_path, raw_edges_schema())
             ensure_table(self.spark, self.raw_vertices_path, raw_vertices_schema())
@@ -281,6 +285,12 @@ class GraphState:
             vertex_key_size=measure(self._read("vertices", [part], Manifest()), "id")[1],
         )
 
+    def _store_epoch(
+        self, before: Manifest, edges: DataFrame, vertices: DataFrame, epoch_id: int
+    ) -> Part:
+        """Store the aggregates of one epoch, to come after what ``before`` names."""
+        return self._measured(self._store(edges, vertices, epoch_id))
+
     def apply_batch(self, vertices: DataFrame, edges: DataFrame, epoch_id: int) -> None:
         """Add one non-empty batch graph; every n-th batch also writes a snapshot."""
         before = self.manifest()
@@ -302,13 +312,15 @@ class GraphState:
         if "epoch_id" not in vertices.columns:
             marked = raw_vertices(vertices, epoch_id)
         counted = self._counted(before)
-        part = self._store(edge_partials(edges, counted), latest_vertices(marked), epoch_id)
+        part = self._store_epoch(
+            before, edge_partials(edges, counted), latest_vertices(marked), epoch_id
+        )
         kept = tuple(p for p in before.parts if p.epoch_id != epoch_id)
         after = replace(
             before,
             batch_count=before.batch_count + (0 if repeated else 1),
             last_epoch_id=epoch_id,
-            parts=(*kept, self._measured(part)),
+            parts=(*kept, part),
             actions=tuple(counted),
         )
         self._commit(after)

@@ -116,3 +116,22 @@ def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     if not exists(spark, path):
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(path)
+
+
+def folders_of(spark: SparkSession, path: str, older_than_ms: int | None = None) -> list[str]:
+    """Names of the folders directly under a path, all or those last changed before a moment."""
+    fs, jvm_path = _filesystem(spark, path)
+    if not fs.exists(jvm_path):
+        return []
+    return [
+        status.getPath().getName()
+        for status in fs.listStatus(jvm_path)
+        if status.isDirectory()
+        and (older_than_ms is None or status.getModificationTime() < older_than_ms)
+    ]
+
+
+def remove(spark: SparkSession, path: str) -> bool:
+    """Delete a folder with all it holds."""
+    fs, jvm_path = _filesystem(spark, path)
+    return fs.delete(jvm_path, True)
