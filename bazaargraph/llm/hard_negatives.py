@@ -8,13 +8,14 @@ the bound of the rest is below what it still needs: its k-th best so far, or a f
 known beforehand. A walk that ends this way has proven its result, so it's exact.
 
 One search finds the positives of all anchors, a second one, with the window of scores
-that each positive allows, their negatives. Both ask in blocks of ``MEMBERS``: rows are
-sent to a block only if their bound reaches the lowest floor of its members, and a
-block's rows are dealt into parts of ``CANDIDATES`` by hash, so that a hot label,
-cluster or group of copies is split. Floors come from the window and from the scores of
-``SAMPLE`` rows (a k-th best of some rows is no better than that of all); centroids are
-fitted on as many anchors. Both samples only save work, they change no result. What
-tasks get of all blocks is five numbers for each, one block for ``MEMBERS`` anchors.
+that each positive allows, their negatives. Both ask in blocks of ``MEMBERS`` anchors,
+cluster after cluster: a row is sent to a block, once, if its bound for one of the
+clusters there reaches the lowest floor of that cluster's members, and a block's rows are
+dealt into parts of ``CANDIDATES`` by hash, so that a hot label, cluster or group of
+copies is split. Floors come from the window and from the scores of ``SAMPLE`` rows (a
+k-th best of some rows is no better than that of all); centroids are fitted on as many
+anchors. Both samples only save work, they change no result. What tasks get of all blocks
+is six numbers for each cluster in each, about one such row for ``MEMBERS`` anchors.
 
 Components become ``floor(256 * x)`` in double precision and scores are exact integers;
 components beyond 2**62 and scores beyond 64 bits are clipped to these. Rows with a null
@@ -37,10 +38,10 @@ ANCHOR_STEP, MOVED_STEP, LABELS = 100, 7, 10  # fixed values of the task
 NEAREST = 5  # positives of an anchor, negatives of a positive
 CLUSTERS = 32
 SAMPLE = 2048  # rows for floors, anchors for centroids, both brought to the driver
-MEMBERS = 2048  # anchors or positives asked together
+MEMBERS = 8192  # anchors of a block, on average
 LEAST_MEMBERS = 64  # of a cluster, on average
 CANDIDATES = 1 << 16  # rows of a part, on average
-STEP = 1024  # rows of a list scored at a time
+STEP = 1 << 20  # scores taken at a time
 EXACT = 2.0**53  # doubles hold integers up to this
 SLACK = 1e-6  # radians, above all rounding of angles
 LOWEST, HIGHEST = -(2**63), 2**63 - 1
@@ -147,8 +148,10 @@ def walk(asked: dict, rows: dict, centroid: np.ndarray, same: bool, k: int, step
     """The first k rows of each member within its window, and how many of the list were scored.
 
     ``asked`` has arrays vector, norm, id, label, low, high; ``rows`` vector, norm, id, label.
-    A row must have the member's label (``same``) or another one, and not its id.
+    A row must have the member's label (``same``) or another one, and not its id. ``step``
+    bounds the scores held at a time.
     """
+    step = max(1, step // len(asked["id"]))
     around = float(_angles(asked["vector"], centroid[None, :]).max())
     reach = _reach(rows["norm"], _angles(rows["vector"], centroid[None, :])[:, 0], around)
     turn = np.argsort(-reach, kind="stable")
@@ -214,9 +217,9 @@ def _place(centroids: dict, sample: dict, same: bool, k: int):
     return run
 
 
-def _route(centroids: dict, blocks: pd.DataFrame):
-    """Sends a row to each block of members whose lowest floor it can reach."""
-    by_dim = dict(list(blocks.groupby("dim")))
+def _route(centroids: dict, clusters: pd.DataFrame):
+    """Sends a row to each block with a cluster whose lowest floor it can reach."""
+    by_dim = {dim: list(part.groupby("block")) for dim, part in clusters.groupby("dim")}
 
     def run(frames):
         for rows in frames:
@@ -225,30 +228,37 @@ def _route(centroids: dict, blocks: pd.DataFrame):
                 if dim in centroids:
                     angles = _angles(_matrix(part, dim), centroids[dim])
                 norms = part["norm"].to_numpy(np.float64)
-                for block in by_dim[dim].itertuples() if dim in by_dim else ():
-                    bound = norms * block.norm
-                    if block.cluster >= 0:
-                        bound = block.norm * _reach(norms, angles[:, block.cluster], block.angle)
-                    sent = part[_with_slack(bound) >= block.low]
-                    if len(sent):
-                        yield sent.assign(cluster=np.int32(block.cluster), chunk=block.chunk)
+                for block, members in by_dim.get(dim, ()):
+                    wanted = np.zeros(len(part), bool)
+                    for own in members.itertuples():
+                        reach = norms
+                        if own.cluster >= 0:
+                            reach = _reach(norms, angles[:, own.cluster], own.angle)
+                        wanted |= _with_slack(own.norm * reach) >= own.low
+                    if wanted.any():
+                        yield part[wanted].assign(block=np.int64(block))
 
     return run
 
 
 def _search_part(centroids: dict, same: bool, k: int):
+    """Every cluster of a block walks its own list of the part's rows."""
+
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        dim, cluster = int(key[0]), int(key[1])
+        dim = int(key[0])
         is_asked = rows["rid"] >= 0
-        out = {"rid": [], "id": [], "score": []}
+        out = [pd.DataFrame({"rid": [], "id": [], "score": []}, dtype=np.int64)]
         if is_asked.any() and not is_asked.all():
-            members = rows[is_asked]
-            asked = _arrays(members, dim, "low", "high")
-            centroid = centroids[dim][cluster] if cluster >= 0 else np.zeros(dim)
-            best, _ = walk(asked, _arrays(rows[~is_asked], dim), centroid, same, k)
-            rid = members["rid"].to_numpy(dtype=np.int64)
-            out = {"rid": rid[best.member], "id": best.id, "score": best.score}
-        return pd.DataFrame(out)
+            stored = _arrays(rows[~is_asked], dim)
+            for cluster, members in rows[is_asked].groupby("cluster"):
+                asked = _arrays(members, dim, "low", "high")
+                centroid = centroids[dim][cluster] if cluster >= 0 else np.zeros(dim)
+                best, _ = walk(asked, stored, centroid, same, k)
+                rid = members["rid"].to_numpy(dtype=np.int64)
+                out.append(
+                    pd.DataFrame({"rid": rid[best.member], "id": best.id, "score": best.score})
+                )
+        return pd.concat(out)
 
     return run
 
@@ -283,26 +293,29 @@ def first_rows(
         "negatives-placed",
     )
     sizes = placed.groupBy("dim", "cluster").agg(F.count(F.lit(1)).alias("size"))
-    chunks = F.ceil(F.col("size") / members)
+    before = Window.partitionBy("dim").orderBy("cluster")  # a row for each cluster
+    sizes = sizes.withColumn("before", F.sum("size").over(before) - F.col("size"))
+    place = F.col("before") + F.pmod(F.xxhash64("id"), F.col("size"))
     placed = placed.join(sizes, ["dim", "cluster"]).withColumn(
-        "chunk", F.pmod(F.xxhash64("rid"), chunks)
+        "block", F.floor(place / members).cast("long")
     )
-    blocks = (
-        placed.groupBy("dim", "cluster", "chunk")
+    clusters = (
+        placed.groupBy("dim", "block", "cluster")
         .agg(F.max("angle").alias("angle"), F.max("norm").alias("norm"), F.min("low").alias("low"))
         .toPandas()
     )
     parts = max(1, -(-rows.count() // candidates))
     # Rows have no number of a member; zeros and not nulls, which pandas would make floats.
-    empty = {"rid": F.lit(-1).cast("long")} | {n: F.lit(0).cast("long") for n in ("low", "high")}
+    empty = {"rid": F.lit(-1).cast("long"), "cluster": F.lit(-1)}
+    empty |= {name: F.lit(0).cast("long") for name in ("low", "high")}
     sent = (
         rows.select(vector)
-        .mapInPandas(_route(centroids, blocks), f"{VECTOR}, cluster int, chunk long")
+        .mapInPandas(_route(centroids, clusters), f"{VECTOR}, block long")
         .withColumns(empty | {"part": F.pmod(F.xxhash64("id", "raw"), F.lit(parts))})
     )
     everywhere = F.explode(F.sequence(F.lit(0), F.lit(parts - 1)).cast("array<long>"))
     cells = sent.unionByName(placed.withColumn("part", everywhere).select(sent.columns))
-    found = cells.groupBy("dim", "cluster", "chunk", "part").applyInPandas(
+    found = cells.groupBy("dim", "block", "part").applyInPandas(
         _search_part(centroids, same, k), "rid long, id long, score long"
     )
     return _first(found, k).select("rid", "id", "score", "rank")
@@ -353,7 +366,9 @@ def mine_negatives(vectors: DataFrame, k: int = NEAREST, **sizes: int) -> DataFr
         anchors.drop("low", "high").join(positives, "rid").where("positive_score >= 0").drop("rid"),
         floor, F.col("positive_score"), "negatives-positives",
     )
-    negatives = first_rows(wanted, rows, False, k, **sizes).select(
+    # A block of these has the positives of as many anchors.
+    per_block = sizes.get("members", MEMBERS) * k
+    negatives = first_rows(wanted, rows, False, k, **(sizes | {"members": per_block})).select(
         "rid", "rank", F.col("id").alias("negative_id"), F.col("score").alias("negative_score")
     )
     pairs = wanted.select("rid", F.col("id").alias("anchor_id"), "positive_id", "positive_score")

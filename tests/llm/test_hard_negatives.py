@@ -96,7 +96,7 @@ def test_a_walk_ends_before_its_list():
 
     centroid = hard_negatives.fit_centroids(asked, 1)[0]
     best, scored = hard_negatives.walk(
-        sided(asked, 1, 9000), sided(rows, 1, 0), centroid, True, 5, step=100
+        sided(asked, 1, 9000), sided(rows, 1, 0), centroid, True, 5, step=2000
     )
     assert 0 < scored < 1500
     exact = asked @ rows.T
