@@ -484,4 +484,6 @@ FROM ed""",
     "bucketed_ego_in": _ego_edges(node=PRODUCT, hops=2, direction="in"),
     "stream_graph_state": STATE,
     "stream_window_revenue": _windows("minute"),
+    "stream_window_table": _windows("minute"),
+    "stream_both": STATE,
 }

@@ -19,6 +19,7 @@ from bazaargraph.sources import sinks, warehouse
 from bazaargraph.streaming import streams
 from bazaargraph.streaming.bucketed import BucketedGraphState
 from bazaargraph.streaming.state import GraphState
+from bazaargraph.streaming.window_table import WindowTable
 from bazaargraph.workspace import read_table, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -616,3 +617,47 @@ def stream_window_revenue(spark, sf_dir):
     )
     stream.awaitTermination()
     return _zoneless(streams.read_windows(spark, path))
+
+
+@query
+def stream_window_table(spark, sf_dir):
+    """The events in order of time, an empty file and rows without time among them, as a
+    stream of several batches; closed windows and open ones together."""
+    log = warehouse.table(spark, sf_dir, "events")
+    sent = scratch_path(spark, "events")
+    log.repartitionByRange(6, "ts").sortWithinPartitions("ts").write.parquet(sent)
+    untimed = log.withColumn("ts", F.lit(None).cast("timestamp_ntz"))
+    untimed.unionByName(log.limit(0)).write.mode("append").parquet(sent)
+    arriving = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 2).parquet(sent)
+    events = warehouse.from_log(arriving).withColumn(
+        "timestamp", F.col("timestamp").cast("timestamp")
+    )
+    # Files of one folder are taken in no set order, so nothing may be too late here.
+    table = WindowTable(spark, scratch_path(spark, "windows"), watermark="3650 days")
+    stream = streams.start_window_stream(
+        events, scratch_path(spark, "checkpoint"), table, NOW, "3650 days", price_scale=2
+    )
+    stream.awaitTermination()
+    return _zoneless(table.load())
+
+
+@query
+def stream_both(spark, sf_dir):
+    """Both streams from one folder of messages, malformed ones among them, run twice: the
+    second start goes on from the checkpoints and reopens the stored state."""
+    events = warehouse.graph_events(spark, sf_dir)
+    sent, root = scratch_path(spark, "messages"), scratch_path(spark, "streams")
+    texts = warehouse.table(spark, sf_dir, "documents").selectExpr("text AS value")
+    for half in (0, 1):
+        part = events.where(F.pmod(_day(), F.lit(2)) == half)
+        messages_of_half = _json_messages(part).unionByName(texts)
+        messages_of_half.repartition(2).write.mode("append").text(sent)
+        state = BucketedGraphState(spark, f"{root}/state", snapshot_every=2).open()
+        table = WindowTable(spark, f"{root}/windows")
+        for stream in streams.start_streams(
+            spark, f"{root}/checkpoints", messages.ndjson_stream(spark, sent, 1),
+            on_graph=state.apply_batch, await_termination=False, windows_path=table,
+            quarantine_path=f"{root}/quarantine", triggers=NOW,
+        ):
+            stream.awaitTermination()
+    return _zoneless(BucketedGraphState(spark, f"{root}/state").load()[0])

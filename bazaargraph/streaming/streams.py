@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from bazaargraph.operators.build import build_graph
+from bazaargraph.operators.export import keyed_records
 from bazaargraph.operators.rank import popular_products
 from bazaargraph.operators.windows import latest_windows, window_revenue
 from bazaargraph.schemas import windows_schema
 from bazaargraph.sources.events import accepted, decode, kafka_stream, parse_events, quarantined
+from bazaargraph.streaming.window_table import WindowTable
 from bazaargraph.workspace import read_table
 
 OnGraph = Callable[[DataFrame, DataFrame, int], None]
@@ -51,6 +53,43 @@ def make_batch_processor(
     return process
 
 
+def kafka_writer(bootstrap: str) -> Callable[[DataFrame, str], None]:
+    """Sends rows of key and value to a topic. Needs Spark's Kafka connector."""
+
+    def write(messages: DataFrame, topic: str) -> None:
+        writer = messages.write.format("kafka").option("kafka.bootstrap.servers", bootstrap)
+        writer.option("topic", topic).save()
+
+    return write
+
+
+def publish_graph(
+    write: Callable[[DataFrame, str], None],
+    vertices_topic: str = "graph-vertices",
+    edges_topic: str = "graph-edges",
+) -> OnGraph:
+    """A handler that sends each batch's vertices, keyed by id, and edges, keyed by source.
+
+    Delivery is at least once: a repeated epoch is sent again.
+    """
+
+    def publish(vertices: DataFrame, edges: DataFrame, epoch_id: int) -> None:
+        write(keyed_records(vertices, "id"), vertices_topic)
+        write(keyed_records(edges, "src"), edges_topic)
+
+    return publish
+
+
+def in_turn(*handlers: OnGraph) -> OnGraph:
+    """A handler that calls several, in order; the batch is kept while they run."""
+
+    def handle(vertices: DataFrame, edges: DataFrame, epoch_id: int) -> None:
+        for handler in handlers:
+            handler(vertices, edges, epoch_id)
+
+    return handle
+
+
 def write_windows(path: str) -> Callable[[DataFrame, int], None]:
     """A foreachBatch function that keeps the windows changed by each epoch.
 
@@ -100,16 +139,21 @@ def start_graph_stream(
 def start_window_stream(
     events: DataFrame,
     checkpoint: str,
-    path: str | None = None,
+    path: str | WindowTable | None = None,
     triggers: Triggers = Triggers(),
     watermark: str = "1 minute",
     width: str = "1 minute",
     price_scale: int | None = None,
 ) -> StreamingQuery:
-    """Revenue per window and action in update mode, to the console or a table."""
+    """Revenue per window and action in update mode, to the console, a folder that keeps
+    every epoch's changes, or a table that keeps the current values."""
+    if isinstance(path, WindowTable) and path.watermark != watermark:
+        raise ValueError(f"the table closes windows by {path.watermark}, the stream by {watermark}")
     windows = window_revenue(events, width, watermark, price_scale)
     writer = windows.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
-    if path is None:
+    if isinstance(path, WindowTable):
+        writer = writer.foreachBatch(path.apply)
+    elif path is None:
         writer = writer.format("console").option("truncate", "false")
     else:
         writer = writer.foreachBatch(write_windows(path))
@@ -125,18 +169,20 @@ def start_streams(
     on_graph: OnGraph | None = None,
     await_termination: bool = True,
     enable_console: bool = False,
-    windows_path: str | None = None,
+    windows_path: str | WindowTable | None = None,
     quarantine_path: str | None = None,
     triggers: Triggers = Triggers(),
+    kafka_options: Mapping[str, str] | None = None,
 ) -> tuple[StreamingQuery | None, StreamingQuery]:
     """Start (window query or None, graph query), each reading the source itself.
 
     ``messages`` defaults to the Kafka topic. The checkpoint folder is required:
     with it epoch numbers go on after a restart, which the graph state relies on.
-    The window query runs when it has somewhere to go.
+    ``kafka_options`` are further options of that source. The window query runs when
+    it has somewhere to go.
     """
     if messages is None:
-        messages = kafka_stream(spark, kafka_bootstrap, kafka_topic)
+        messages = kafka_stream(spark, kafka_bootstrap, kafka_topic, **(kafka_options or {}))
     graph = start_graph_stream(
         messages, f"{checkpoint_root}/graph", on_graph, triggers, quarantine_path
     )
