@@ -418,6 +418,11 @@ GROUP BY action_type""",
         f",\nst AS ({_state('replayed')})",
         "SELECT * FROM st",
     ),
+    "raw_ranges_replay_edges": _with(
+        RAW + f",\nreplayed AS (SELECT * FROM raw WHERE epoch_id > {REPLAY_AFTER})"
+        f",\nst AS ({_state('replayed')})",
+        "SELECT * FROM st",
+    ),
     "raw_replay_vertices": _with(
         EVENTS
         + f""",

@@ -15,7 +15,9 @@ from bazaargraph.operators import build, export, fold, lookup, rank, reports, tr
 from bazaargraph.operators.windows import window_revenue as revenue_per_window
 from bazaargraph.session import apply_conf
 from bazaargraph.sources import events as messages
+from bazaargraph.schemas import raw_edges_schema
 from bazaargraph.sources import sinks, warehouse
+from bazaargraph.sources.rawlog import RawLog
 from bazaargraph.streaming import streams
 from bazaargraph.streaming.bucketed import BucketedGraphState
 from bazaargraph.streaming.state import GraphState
@@ -413,6 +415,19 @@ def _raw_log(spark, sf_dir):
     )
 
 
+@query
+def raw_ranges_replay_edges(spark, sf_dir):
+    """The same replay from a log in ranges of epochs, of which only the later ones are read."""
+    edges, _ = _raw_log(spark, sf_dir)
+    log = RawLog(spark, scratch_path(spark, "raw"), raw_edges_schema())
+    epochs = edges.agg(F.min("epoch_id"), F.max("epoch_id")).first()
+    bounds = [epochs[0], REPLAY_AFTER - 3, REPLAY_AFTER + 4, epochs[1] + 1]
+    for low, high in zip(bounds, bounds[1:], strict=False):
+        log.append(edges.where((F.col("epoch_id") >= low) & (F.col("epoch_id") < high)))
+    replayed = fold.distinct_raw_edges(log.read(REPLAY_AFTER))
+    return _zoneless(fold.with_score(fold.edge_partials(replayed)))
+
+
 @query
 def raw_edges_distinct(spark, sf_dir):
     return fold.distinct_raw_edges(_raw_log(spark, sf_dir)[0])

@@ -30,14 +30,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
+from bazaargraph.operators.build import raw_edges, raw_vertices
 from bazaargraph.operators.fold import (
     edge_partials,
     latest_vertices,
     merge_edge_partials,
     with_score,
 )
-from bazaargraph.schemas import WEIGHTS, raw_vertices_schema
+from bazaargraph.schemas import WEIGHTS, raw_edges_schema, raw_vertices_schema
 from bazaargraph.sources.buckets import BucketedTable
+from bazaargraph.sources.rawlog import RawLog
 from bazaargraph.streaming.state import DEFAULT_SNAPSHOT_EVERY, GraphState
 from bazaargraph.workspace import exists, folders_of, read_text, remove
 
@@ -142,6 +144,27 @@ class BucketedGraphState(GraphState):
             )
         return self._tables[what]
 
+    # -- the raw log, in ranges of epochs ------------------------------------
+
+    def _logs(self) -> tuple[RawLog, RawLog]:
+        return (
+            RawLog(self.spark, self.raw_edges_path, raw_edges_schema()),
+            RawLog(self.spark, self.raw_vertices_path, raw_vertices_schema()),
+        )
+
+    def _open_raw(self) -> None:
+        """Nothing to create: an absent log reads as an empty one."""
+
+    def _append_raw(self, edges: DataFrame, vertices: DataFrame, epoch_id: int) -> None:
+        of_edges, of_vertices = self._logs()
+        of_edges.append(raw_edges(edges, epoch_id), epoch_id)
+        of_vertices.append(raw_vertices(vertices, epoch_id), epoch_id)
+
+    def raw_log(self, after: int | None = None) -> tuple[DataFrame, DataFrame]:
+        """(raw edges, raw vertices), all or those of the epochs after one."""
+        of_edges, of_vertices = self._logs()
+        return of_edges.read(after), of_vertices.read(after)
+
     # -- reading ----------------------------------------------------------
 
     def _merged_rows(self, kind: str, rows: DataFrame, layout: Layout) -> DataFrame:
@@ -298,4 +321,7 @@ class BucketedGraphState(GraphState):
         for name in folders_of(self.spark, f"{self.path}/reverse", before):
             if name not in names and remove(self.spark, f"{self.path}/reverse/{name}"):
                 gone.append(f"reverse/{name}")
+        if self.keep_raw:
+            for log, kind in zip(self._logs(), ("edges_raw", "vertices_raw"), strict=True):
+                gone += [f"{kind}/{name}" for name in log.vacuum(keep_hours)]
         return gone

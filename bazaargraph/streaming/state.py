@@ -176,10 +176,13 @@ class GraphState:
         if not load or not exists(self.spark, self._manifest_path):
             self._commit(self._blank())
         if self.keep_raw:
-            ensure_table(self.spark, self.raw_edges_path, raw_edges_schema())
-            ensure_table(self.spark, self.raw_vertices_path, raw_vertices_schema())
+            self._open_raw()
         return self
 
+    def _open_raw(self) -> None:
+        ensure_table(self.spark, self.raw_edges_path, raw_edges_schema())
+        ensure_table(self.spark, self.raw_vertices_path, raw_vertices_schema())
+
     def _commit(self, manifest: Manifest) -> None:
         replace_text(self.spark, self._manifest_path, manifest.to_json())
 
@@ -291,6 +294,10 @@ class GraphState:
         """Store the aggregates of one epoch, to come after what ``before`` names."""
         return self._measured(self._store(edges, vertices, epoch_id))
 
+    def _append_raw(self, edges: DataFrame, vertices: DataFrame, epoch_id: int) -> None:
+        append_raw_edges(edges, self.raw_edges_path, epoch_id)
+        append_raw_vertices(vertices, self.raw_vertices_path, epoch_id)
+
     def apply_batch(self, vertices: DataFrame, edges: DataFrame, epoch_id: int) -> None:
         """Add one non-empty batch graph; every n-th batch also writes a snapshot."""
         before = self.manifest()
@@ -305,8 +312,7 @@ class GraphState:
             return
 
         if self.keep_raw:
-            append_raw_edges(edges, self.raw_edges_path, epoch_id)
-            append_raw_vertices(vertices, self.raw_vertices_path, epoch_id)
+            self._append_raw(edges, vertices, epoch_id)
 
         marked = vertices
         if "epoch_id" not in vertices.columns:
