@@ -485,6 +485,12 @@ FROM ed""",
         """SELECT (SELECT count(*) FROM vt) AS vertices, (SELECT count(*) FROM st) AS edges,
   CAST(3 AS BIGINT) AS batch_count, CAST(2 AS BIGINT) AS last_epoch_id""",
     ),
+    "bucketed_best_edges": _with(GRAPH + BEST, "SELECT * FROM best"),
+    "bucketed_search": _with(
+        EVENTS + VERTICES,
+        f"SELECT * FROM vt WHERE starts_with(lower(id), '{PREFIX.strip().lower()}')"
+        " ORDER BY id LIMIT 20",
+    ),
     "bucketed_ego_h2": _ego_edges(hops=2),
     "bucketed_ego_in": _ego_edges(node=PRODUCT, hops=2, direction="in"),
     "stream_graph_state": STATE,

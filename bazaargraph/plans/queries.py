@@ -574,6 +574,18 @@ def bucketed_stats(spark, sf_dir):
     return state.stats()
 
 
+@query
+def bucketed_best_edges(spark, sf_dir):
+    """The best edges, without buckets whose bound is below the last of them."""
+    return _zoneless(_bucketed(spark, sf_dir).best_edges()[0])
+
+
+@query
+def bucketed_search(spark, sf_dir):
+    """An id prefix looked up in ranges of folded ids."""
+    return _bucketed(spark, sf_dir).search_ids(PREFIX)
+
+
 def _bucketed_walk(name, node, **arguments):
     def run(spark, sf_dir):
         state = _bucketed(spark, sf_dir)

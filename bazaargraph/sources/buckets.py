@@ -18,7 +18,7 @@ from functools import reduce
 from hashlib import sha256
 from operator import or_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -102,6 +102,15 @@ class BucketedTable:
         )
         return self.spark.table(self.name).where(reduce(or_, among)).drop("part", "slot")
 
+    def per_slot(self, part: str, slots: Iterable[int], *aggregates: F.Column) -> list[Row]:
+        """(slot, rows, aggregates) of a part's buckets; at most as many rows as buckets."""
+        slots = list(slots)
+        if not slots:
+            return []
+        self._register({part: slots})
+        rows = self.spark.table(self.name).where((F.col("part") == part) & F.col("slot").isin(slots))
+        return rows.groupBy("slot").agg(F.count(F.lit(1)), *aggregates).orderBy("slot").collect()
+
     def vacuum(self, parts: Slots, older_than_ms: int) -> list[str]:
         """Remove buckets that ``parts`` does not name, if last changed before that moment.
 

@@ -12,6 +12,11 @@ for each part the buckets that are valid, which is all that reading and compacti
   look-ups by destination open few row groups, and an often bought product spreads over many
   files. A bucket that a later part replaced is left out by its number, kept in each row.
 
+* ``stats`` counts rows of untouched buckets from the manifest, which has their numbers.
+* ``best_edges`` knows for each bucket the highest count of each action in each part, hence a
+  bound of its scores, and reads only buckets whose bound reaches the last of the best.
+* ``search_ids`` looks a prefix up in a copy of the vertices in ranges of the folded id.
+
 A bucket is the unit of work: choose ``buckets`` so that one fits a task (their number is
 fixed by the first write). All edges of one source share a bucket, one row per destination.
 """
@@ -37,6 +42,8 @@ from bazaargraph.operators.fold import (
     merge_edge_partials,
     with_score,
 )
+from bazaargraph.operators.lookup import search_ids
+from bazaargraph.operators.rank import best_edges, top_edges
 from bazaargraph.schemas import WEIGHTS, raw_edges_schema, raw_vertices_schema
 from bazaargraph.sources.buckets import BucketedTable
 from bazaargraph.sources.rawlog import RawLog
@@ -55,6 +62,9 @@ class Piece:
     merged: bool
     edges: tuple[int, ...]
     vertices: tuple[int, ...]
+    # (bucket, rows, highest count of each action of the manifest) and (bucket, rows).
+    edge_stats: tuple[tuple[int, ...], ...] = ()
+    vertex_stats: tuple[tuple[int, ...], ...] = ()
 
     def without(self, edges: Iterable[int], vertices: Iterable[int]) -> Piece:
         return replace(
@@ -90,7 +100,10 @@ class Layout:
 
         def pieces(key: str) -> tuple[Piece, ...]:
             return tuple(
-                Piece(p["epoch_id"], p["name"], p["merged"], tuple(p["edges"]), tuple(p["vertices"]))
+                Piece(
+                    p["epoch_id"], p["name"], p["merged"], tuple(p["edges"]), tuple(p["vertices"]),
+                    *(tuple(map(tuple, p[k])) for k in ("edge_stats", "vertex_stats")),
+                )
                 for p in fields[key]
             )
 
@@ -172,9 +185,13 @@ class BucketedGraphState(GraphState):
             return merge_edge_partials(rows, self._counted(layout))
         return latest_vertices(rows)
 
-    def _state_rows(self, kind: str, layout: Layout) -> DataFrame:
+    def _state_rows(
+        self, kind: str, layout: Layout, among: Iterable[int] | None = None
+    ) -> DataFrame:
         """One row per key: buckets of one part as they are, the others merged in place."""
         times = Counter(s for piece in layout.pieces for s in getattr(piece, kind))
+        if among is not None:
+            times = Counter({s: times[s] for s in among})
         single = {p.name: [s for s in getattr(p, kind) if times[s] == 1] for p in layout.pieces}
         shared = {p.name: [s for s in getattr(p, kind) if times[s] > 1] for p in layout.pieces}
         table = self._table(kind, layout)
@@ -184,8 +201,9 @@ class BucketedGraphState(GraphState):
             rows = rows.unionByName(merged) if any(single.values()) else merged
         return rows
 
-    def _counts(self, layout: Layout) -> DataFrame:
-        return self._state_rows("edges", layout).fillna(0, subset=list(self._counted(layout)))
+    def _counts(self, layout: Layout, among: Iterable[int] | None = None) -> DataFrame:
+        rows = self._state_rows("edges", layout, among)
+        return rows.fillna(0, subset=list(self._counted(layout)))
 
     def _latest(self, layout: Layout) -> DataFrame:
         return self._state_rows("vertices", layout)
@@ -213,6 +231,79 @@ class BucketedGraphState(GraphState):
         rows = rows.fillna(0, subset=list(self._counted(layout)))
         return with_score(rows, self.weights)
 
+    def stats(self) -> DataFrame:
+        """``graph_stats``; rows are read only of buckets that several parts have."""
+        layout = self.manifest()
+        columns = []
+        for kind, of in (("vertices", "vertex_stats"), ("edges", "edge_stats")):
+            times = Counter(s for piece in layout.pieces for s in getattr(piece, kind))
+            known = sum(
+                stat[1]
+                for piece in layout.pieces for stat in getattr(piece, of)
+                if stat[0] in getattr(piece, kind) and times[stat[0]] == 1
+            )
+            shared = [s for s, n in times.items() if n > 1]
+            merged = self._state_rows(kind, layout, shared).count() if shared else 0
+            columns.append(F.lit(known + merged).cast("long").alias(kind))
+        return self.spark.range(1).select(
+            *columns,
+            F.lit(layout.batch_count).cast("long").alias("batch_count"),
+            F.lit(layout.last_epoch_id).cast("long").alias("last_epoch_id"),
+        )
+
+    def _bounds(self, layout: Layout) -> dict[int, tuple[float, int]]:
+        """(no score is above this, at least so many edges) of each bucket of edges."""
+        weights = [max(0.0, float(self.weights.get(a, 0.0))) for a in layout.actions]
+        bounds: dict[int, tuple[float, int]] = {}
+        for piece in layout.pieces:
+            for slot, rows, *tops in piece.edge_stats:
+                if slot in piece.edges:
+                    # Counts of an edge add up over parts, so their bounds do.
+                    most = sum(w * (t or 0) for w, t in zip(weights, tops, strict=False))
+                    bound, least = bounds.get(slot, (0.0, 0))
+                    bounds[slot] = (bound + most, max(least, rows))
+        return bounds
+
+    def best_buckets(self, limit: int) -> list[int]:
+        """The buckets of edges that can hold one of the best, found by a walk along bounds."""
+        layout = self.manifest()
+        bounds = self._bounds(layout)
+        order = sorted(bounds, key=lambda slot: (-bounds[slot][0], slot))
+        first, rows = [], 0
+        for slot in order:
+            if rows >= limit:
+                break
+            first.append(slot)
+            rows += bounds[slot][1]
+        if len(first) == len(order) or limit <= 0:
+            return first
+        some = with_score(self._counts(layout, first), self.weights)
+        last = top_edges(some, limit).agg(F.min("score")).first()[0]
+        return [slot for slot in order if bounds[slot][0] >= last or slot in first]
+
+    def best_edges(self, limit: int = 100) -> tuple[DataFrame, DataFrame]:
+        """The strongest edges and the vertices they touch, as of ``rank.best_edges``."""
+        layout = self.manifest()
+        edges = with_score(self._counts(layout, self.best_buckets(limit)), self.weights)
+        return best_edges(edges, self.load()[1], limit, self.weights)
+
+    def search_ids(self, query: str, limit: int = 20) -> DataFrame:
+        """``lookup.search_ids``, by a range of folded ids where the state has that copy."""
+        layout, prefix = self.manifest(), query.strip().lower()
+        if not layout.reverse or not prefix:
+            return search_ids(self.load()[1], query, limit)
+        schema = raw_vertices_schema().add("folded", "string").add("slot", IntegerType())
+        hits = [
+            self.spark.read.schema(schema).parquet(f"{self.path}/names/{piece.name}")
+            .where(F.col("folded").startswith(prefix) & F.col("slot").isin(*piece.vertices))
+            .select("id", "type", "epoch_id")
+            for piece in layout.pieces if piece.vertices
+        ]
+        if not hits:
+            return search_ids(self.load()[1], query, limit)
+        found = latest_vertices(reduce(DataFrame.unionByName, hits))
+        return found.select("id", "type").orderBy("id").limit(limit)
+
     # -- writing ----------------------------------------------------------
 
     def _write(
@@ -230,8 +321,20 @@ class BucketedGraphState(GraphState):
                 .sortWithinPartitions("dst", "src")
                 .write.parquet(f"{self.path}/reverse/{name}")
             )
-        of_vertices = self._table("vertices", layout).write(vertices, name, clustered)
-        return Piece(epoch_id, name, merged, slots, of_vertices)
+        tops = (F.max(f"`{action}`") for action in layout.actions)
+        edge_stats = tuple(map(tuple, table.per_slot(name, slots, *tops)))
+        table = self._table("vertices", layout)
+        of_vertices = table.write(vertices, name, clustered)
+        if layout.reverse and of_vertices:
+            (
+                table.read({name: of_vertices})
+                .withColumns({"folded": F.lower("id"), "slot": table.slot()})
+                .repartitionByRange("folded")
+                .sortWithinPartitions("folded")
+                .write.parquet(f"{self.path}/names/{name}")
+            )
+        vertex_stats = tuple(map(tuple, table.per_slot(name, of_vertices)))
+        return Piece(epoch_id, name, merged, slots, of_vertices, edge_stats, vertex_stats)
 
     def _store_epoch(self, before: Layout, edges: DataFrame, vertices: DataFrame, epoch_id: int):
         counted = replace(before, actions=tuple(self._counted(before)))
@@ -318,9 +421,10 @@ class BucketedGraphState(GraphState):
             removed = self._table(kind, layout).vacuum(named, before)
             gone += [f"{kind}/{name}" for name in removed]
         names = {p.name for p in layout.pieces}
-        for name in folders_of(self.spark, f"{self.path}/reverse", before):
-            if name not in names and remove(self.spark, f"{self.path}/reverse/{name}"):
-                gone.append(f"reverse/{name}")
+        for copy in ("reverse", "names"):
+            for name in folders_of(self.spark, f"{self.path}/{copy}", before):
+                if name not in names and remove(self.spark, f"{self.path}/{copy}/{name}"):
+                    gone.append(f"{copy}/{name}")
         if self.keep_raw:
             for log, kind in zip(self._logs(), ("edges_raw", "vertices_raw"), strict=True):
                 gone += [f"{kind}/{name}" for name in log.vacuum(keep_hours)]

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from bazaargraph import workspace
-from bazaargraph.operators import build, rank, traverse
+from bazaargraph.operators import build, lookup, rank, traverse
 from bazaargraph.plans import queries
 from bazaargraph.sources import warehouse
 from bazaargraph.streaming.bucketed import BucketedGraphState, Layout, touched
@@ -189,7 +189,7 @@ def test_vacuum_keeps_what_the_manifest_names(spark, path):
     before = rows(state.load()[0])
     assert state.vacuum(keep_hours=1.0) == []
     gone = state.vacuum(keep_hours=-1.0)
-    assert {name.split("/")[0] for name in gone} == {"edges", "vertices", "reverse"}
+    assert {name.split("/")[0] for name in gone} == {"edges", "vertices", "reverse", "names"}
     assert {p for p, _ in files(path, "edges")} == {p.name for p in state.manifest().pieces}
     assert rows(state.load()[0]) == before == rows(state.reverse_edges())
     assert rows(BucketedGraphState(spark, path).load()[1]) == FOLD_VERTICES
@@ -254,3 +254,55 @@ def test_best_edges_of_the_stored_state(spark, stored):
     found, _ = rank.best_edges(*stored.load())
     once = queries.QUERIES["best_edges"](spark, SF_DIR)
     assert rows(queries._zoneless(found), "src", "dst", "score") == rows(once, "src", "dst", "score")
+
+
+@pytest.fixture(scope="module")
+def skewed(spark, tmp_path_factory):
+    """Few users with high counts, so most buckets are cold; a recent part beside the base."""
+    path = str(tmp_path_factory.mktemp("skewed"))
+    state = BucketedGraphState(spark, path, buckets=16, reverse=True, snapshot_every=2).open()
+    edge = "src string, dst string, relationship string, timestamp timestamp, price double"
+    for epoch in range(3):
+        values = [(f"u{k}", f"p{k % 9}", "AIME", None, 1.0) for k in range(120)]
+        values += [(f"u{k}", f"p{j}", "ACHAT", None, 1.0) for k in (3, 5) for j in range(20)]
+        vertices = spark.createDataFrame(
+            [(f"{'U' if k % 2 else 'u'}{k}", "USER") for k in range(120)], "id string, type string"
+        )
+        state.apply_batch(vertices, spark.createDataFrame(values, edge), epoch)
+    return state
+
+
+@pytest.mark.parametrize("limit", [0, 1, 10, 39, 60, 500])
+def test_best_edges_leave_cold_buckets_alone(skewed, limit):
+    found, ends = skewed.best_edges(limit)
+    plain, all_ends = rank.best_edges(*skewed.load(), limit)
+    assert rows(found) == rows(plain) and rows(ends) == rows(all_ends)
+    if 0 < limit < 40:
+        hot = skewed.best_buckets(limit)
+        assert 1 <= len(hot) <= 3
+        slots = {int(s) for f in found.inputFiles() if "/edges/" in f for s in re.findall(r"slot=(\d+)", f)}
+        assert slots == set(hot)
+
+
+@pytest.mark.parametrize("query", ["u1", " U11 ", "x", "", "U"])
+def test_prefixes_are_looked_up_in_ranges(spark, skewed, query):
+    found, plain = skewed.search_ids(query), lookup.search_ids(skewed.load()[1], query)
+    assert rows(found) == rows(plain)
+    if query.strip() == "u1":
+        spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
+        text = plan(found)
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+        assert "StringStartsWith(folded,u1)" in text
+
+
+def test_weights_below_zero_keep_bounds_valid(spark, skewed):
+    other = BucketedGraphState(spark, skewed.path, weights={"ACHAT": -2.0, "AIME": 1.0, "NEW": 3.0})
+    assert rows(other.best_edges(7)[0]) == rows(rank.best_edges(*other.load(), 7, other.weights)[0])
+
+
+def test_counts_come_from_the_manifest(skewed):
+    vertices, edges = (skewed.load()[k].count() for k in (1, 0))
+    assert rows(skewed.stats()) == [(vertices, edges, 3, 2)]
+    skewed.snapshot()
+    assert rows(skewed.stats()) == [(vertices, edges, 3, 2)]
+    assert "FileScan" not in plan(skewed.stats())
