@@ -8,10 +8,12 @@ opened, and pairs compared, only for queries that pass this bound.
 Which groups meet at all is found from prefixes: in any fixed order of all
 tokens, two linked documents share a token among the first ``n - ceil(0.8 n) + 1``
 of each. The order is by hash, with frequent tokens last: those found often in a
-bounded sample, and those counted often at the front of all documents' sets. So a
+bounded sample, and those counted often at the front of all documents' sets (by a short
+code of a token, as now and then a wrong one among them does no harm). So a
 passage that many documents share brings no two of them together unless it makes up
 most of both. The order decides only how much work there is: any order gives the
-same links.
+same links. Copies of a set are left out before prefixes are sent, and documents that
+no group needs before texts are, both by a Bloom filter of the ids that matter.
 
 Steps: (1) frequent tokens are found; (2) documents with equal sets fall into one
 class; (3) prefix tokens of a single row are dropped; (4) a document's group is
@@ -33,6 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from bazaargraph.llm.bloom import Bloom
 from bazaargraph.llm.components import connected_components
 from bazaargraph.llm.shingles import WordHasher, mix, overlap, shingle_sets
 from bazaargraph.workspace import cut
@@ -85,6 +88,32 @@ def _top(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return top["token"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.float64)
 
 
+def _bucket(tokens: np.ndarray, buckets: int) -> np.ndarray:
+    return (tokens >> np.uint64(32)).astype(np.int64) * buckets >> 32
+
+
+def _codes(tokens: np.ndarray, buckets: int) -> np.ndarray:
+    """A token's bucket and its last three bytes: nearly unique, and short inside a bucket."""
+    high = _bucket(tokens, buckets).astype(np.uint64) << np.uint64(24)
+    return high | (tokens & np.uint64(0xFFFFFF))
+
+
+def _planes(values: np.ndarray, size: int = 8) -> bytes:
+    """The first bytes of all values, then the second ones, and so on; these compress well."""
+    raw = values.view(np.uint8).reshape(len(values), values.itemsize)
+    return np.ascontiguousarray(raw[:, :size].T).tobytes()
+
+
+def _from_planes(parts, dtype, size: int) -> np.ndarray:
+    found = [np.zeros(0, dtype)]
+    for part in parts:
+        planes = np.frombuffer(part, np.uint8).reshape(size, -1)
+        raw = np.zeros((planes.shape[1], np.dtype(dtype).itemsize), np.uint8)
+        raw[:, :size] = planes.T
+        found.append(raw.view(dtype).ravel())
+    return np.concatenate(found)
+
+
 def _fronts(heavy, buckets: int):
     """Counts of the tokens at the front of the sets of a batch, packed by bucket."""
 
@@ -94,16 +123,18 @@ def _fronts(heavy, buckets: int):
             found = [np.zeros(0, np.uint64)]
             for _, texts in _texts(batch):
                 for tokens in shingle_sets(texts, hasher):
-                    found.append(ordered_prefix(tokens, heavy.value, FRONT)[0])
-            tokens, counts = np.unique(np.concatenate(found), return_counts=True)
-            where = (tokens >> np.uint64(32)).astype(np.int64) * buckets >> 32
+                    found.append(ordered_prefix(tokens, heavy.value, buckets, FRONT)[0])
+            codes = _codes(np.concatenate(found), buckets)
+            codes, counts = np.unique(codes, return_counts=True)
+            where = (codes >> np.uint64(24)).astype(np.int64)
             cuts = np.flatnonzero(np.diff(where)) + 1
+            counts = np.minimum(counts, np.iinfo(np.uint16).max).astype(np.uint16)
             columns = [
-                pa.array([x.tobytes() for x in np.split(values, cuts)], pa.binary())
-                for values in (tokens, counts.astype(np.int32))
+                pa.array([_planes(x, size) for x in np.split(values, cuts)], pa.binary())
+                for values, size in ((codes, 3), (counts, 2))
             ]
             numbers = pa.array([int(x[0]) for x in np.split(where, cuts) if len(x)], pa.int32())
-            if len(tokens):
+            if len(codes):
                 yield pa.RecordBatch.from_arrays(
                     [numbers, *columns], names=["bucket", "tokens", "counts"]
                 )
@@ -112,16 +143,16 @@ def _fronts(heavy, buckets: int):
 
 
 def _common_in_bucket(rows: pd.DataFrame) -> pd.DataFrame:
-    tokens = np.frombuffer(b"".join(rows["tokens"]), np.int64)
-    counts = np.frombuffer(b"".join(rows["counts"]), np.int32)
-    turn = np.argsort(tokens, kind="stable")
-    tokens, starts = np.unique(tokens[turn], return_index=True)
+    codes = _from_planes(rows["tokens"], np.int64, 3) | (int(rows["bucket"].iloc[0]) << 24)
+    counts = _from_planes(rows["counts"], np.uint16, 2)
+    turn = np.argsort(codes, kind="stable")
+    codes, starts = np.unique(codes[turn], return_index=True)
     n = np.add.reduceat(counts[turn].astype(np.int64), starts)
-    return pd.DataFrame({"token": tokens[n >= COMMON_AT], "n": n[n >= COMMON_AT]})
+    return pd.DataFrame({"token": codes[n >= COMMON_AT], "n": n[n >= COMMON_AT]})
 
 
 def _frequent_tokens(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, int]:
-    """(frequent tokens, sorted; about how frequent each is; buckets for prefix tokens)."""
+    """(codes of frequent tokens, sorted; about how frequent; buckets for prefix tokens)."""
     rows, size = docs.agg(F.count(F.lit(1)), F.sum(F.octet_length("text"))).first()
     buckets = max(16, int((size or 0) / BYTES / 5) // BUCKET)
     share = min(1.0, SAMPLE / max(rows, 1))
@@ -134,8 +165,8 @@ def _frequent_tokens(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, int]:
         .agg(F.count(F.lit(1)).alias("n"))
         .where(F.col("n") >= HEAVY_AT)
     )
-    turn = np.argsort(tokens)
-    tokens, weights = tokens[turn], weights[turn] / share
+    tokens, first = np.unique(_codes(tokens, buckets), return_index=True)
+    weights = weights[first] / share
     if share == 1.0:
         return tokens, weights, buckets
     known = docs.sparkSession.sparkContext.broadcast(tokens)
@@ -151,15 +182,19 @@ def _frequent_tokens(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, int]:
 
 
 def ordered_prefix(
-    tokens: np.ndarray, heavy: np.ndarray, share: float = 0.0
+    tokens: np.ndarray, heavy: np.ndarray, buckets: int, share: float = 0.0
 ) -> tuple[np.ndarray, int]:
-    """(the prefix of a sorted set, or ``share`` of it, how many of it are not frequent)."""
+    """(the prefix of a sorted set, or ``share`` of it, how many of it are not frequent).
+
+    ``heavy`` has the codes of frequent tokens, in order.
+    """
     length = max(prefix_length(len(tokens)), int(share * len(tokens)))
     if not len(heavy):
         return tokens[:length], length
-    at = np.searchsorted(heavy, tokens)
+    codes = _codes(tokens, buckets)
+    at = np.searchsorted(heavy, codes)
     at[at == len(heavy)] = 0
-    late = heavy[at] == tokens
+    late = heavy[at] == codes
     rare = tokens[~late][:length]
     return np.concatenate([rare, tokens[late][: length - len(rare)]]), len(rare)
 
@@ -181,8 +216,8 @@ def _digests(batches):
             )
 
 
-def _prefixes(heavy, buckets: int):
-    """Prefix tokens of all documents, packed by bucket.
+def _prefixes(heavy, buckets: int, wanted: Bloom):
+    """Prefix tokens of the documents wanted, and perhaps of others, packed by bucket.
 
     Frequent tokens, of which nothing can be dropped, are dealt to buckets below 0 by
     document.
@@ -192,25 +227,26 @@ def _prefixes(heavy, buckets: int):
         hasher = WordHasher()
         for batch in batches:
             found: list[tuple[np.ndarray, ...]] = []
+            batch = batch.filter(pa.array(wanted.test(batch.column(2).to_numpy())))
             for ids, texts in _texts(batch):
                 sets = shingle_sets(texts, hasher)
                 for doc_id, tokens in zip(ids.to_pylist(), sets, strict=True):
                     if doc_id is not None and len(tokens):
-                        prefix, rare = ordered_prefix(tokens, heavy.value[0])
+                        prefix, rare = ordered_prefix(tokens, heavy.value[0], buckets)
                         places = np.arange(1, len(prefix) + 1, dtype=np.int32)
                         docs = np.full(len(prefix), doc_id, np.int64)
                         found.append((prefix, docs, places, places > rare))
             if not found:
                 continue
             tokens, docs, places, late = map(np.concatenate, zip(*found, strict=True))
-            where = (tokens >> np.uint64(32)).astype(np.int64) * buckets >> 32
+            where = _bucket(tokens, buckets)
             where[late] = -1 - np.abs(docs[late]) % buckets
             turn = np.argsort(where, kind="stable")
             where = where[turn]
             cuts = np.flatnonzero(np.diff(where)) + 1
             columns = [
-                pa.array([x.tobytes() for x in np.split(values[turn], cuts)], pa.binary())
-                for values in (tokens, docs, places)
+                pa.array([_planes(x, size) for x in np.split(values[turn], cuts)], pa.binary())
+                for values, size in ((tokens, 8), (docs, 8), (places, 4))
             ]
             numbers = pa.array([int(x[0]) for x in np.split(where, cuts)], pa.int32())
             yield pa.RecordBatch.from_arrays(
@@ -222,13 +258,13 @@ def _prefixes(heavy, buckets: int):
 
 def _entries(tokens, docs, places) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return (
-        np.frombuffer(b"".join(tokens), np.int64),
-        np.frombuffer(b"".join(docs), np.int64),
-        np.frombuffer(b"".join(places), np.int32),
+        _from_planes(tokens, np.int64, 8),
+        _from_planes(docs, np.int64, 8),
+        _from_planes(places, np.int32, 4),
     )
 
 
-def _shared_in_bucket(heavy):
+def _shared_in_bucket(heavy, buckets: int):
     """The entries of a bucket whose token may stand in several documents, and in how many.
 
     Frequent tokens have the number they were found with; it only guides the grouping.
@@ -238,7 +274,8 @@ def _shared_in_bucket(heavy):
         tokens, docs, places = _entries(rows["tokens"], rows["docs"], rows["places"])
         if rows["bucket"].iloc[0] < 0:
             frequent, weights = heavy.value
-            numbers = weights[np.searchsorted(frequent, tokens.view(np.uint64))].astype(np.int64)
+            codes = _codes(tokens.view(np.uint64), buckets)
+            numbers = weights[np.searchsorted(frequent, codes)].astype(np.int64)
         else:
             turn = np.argsort(tokens, kind="stable")
             tokens, docs, places = tokens[turn], docs[turn], places[turn]
@@ -478,16 +515,18 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     heavy = docs.sparkSession.sparkContext.broadcast(tuple(heavy))  # 2 * HEAVY_MAX at most
     entry = "token long, doc long, place int, df long"
     shared = (
-        docs.mapInArrow(_prefixes(heavy, buckets), _PACKED)
+        docs.withColumn("hash", Bloom.hash("doc_id"))
+        .mapInArrow(_prefixes(heavy, buckets, Bloom(classes, "rep")), _PACKED)
         .groupBy("bucket")
-        .applyInPandas(_shared_in_bucket(heavy), entry)
+        .applyInPandas(_shared_in_bucket(heavy, buckets), entry)
         .join(sizes.select("doc"), "doc", "left_semi")
         .groupBy("token", "doc")
         .agg(F.min("place").alias("place"), F.max("df").alias("df"))
     )
     opened = cut(_meeting_docs(cut(shared, "ngram-shared"), sizes), "ngram-live")
-    wanted = opened.select("doc").distinct()
-    texts = docs.join(wanted, docs["doc_id"] == wanted["doc"], "left_semi").select(
+    wanted = cut(opened.select("doc").distinct(), "ngram-wanted")
+    near = Bloom(wanted, "doc").only(docs, "doc_id")
+    texts = near.join(wanted, near["doc_id"] == wanted["doc"], "left_semi").select(
         F.col("doc_id").alias("doc"), F.col("text").cast("binary").alias("text")
     )
     parts = max(1, -(-opened.count() // OPENED))
