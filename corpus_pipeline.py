@@ -7,7 +7,7 @@ twice then stands there twice.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from bazaargraph.llm import language, mixing, ngram_join, pieces, quality
@@ -24,34 +24,91 @@ def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return language.identified_documents(docs, language.train(docs))
 
 
+def _bundled(docs: DataFrame) -> DataFrame:
+    """Each row whole as ``row``, beside the columns that stages look at and two hashes of
+    all its columns. Maps are hashed as JSON."""
+    whole = [
+        F.to_json(F.struct(f"`{name}`")) if "map<" in kind else F.col(f"`{name}`")
+        for name, kind in docs.dtypes
+    ]
+    return docs.select(
+        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), "doc_id", "source",
+        "text", F.xxhash64("text").alias("digest"),
+        F.xxhash64(*whole).alias("hash1"), F.xxhash64(F.lit(1), *whole).alias("hash2"),
+    )
+
+
+def _by_text(rows: DataFrame) -> DataFrame:
+    """Adds ``node``: the doc_id or, where that has several texts, for all texts but one a
+    number above all ids."""
+    texts = rows.select("doc_id", "digest").distinct()
+    others = cut(
+        texts.groupBy("doc_id")
+        .agg(F.count(F.lit(1)).alias("texts"), F.min("digest").alias("first"))
+        .where("texts > 1")
+        .select("doc_id", "first")
+        .join(texts, "doc_id")
+        .where("digest <> first")
+        .select("doc_id", "digest", F.monotonically_increasing_id().alias("number")),
+        "pipeline-other-texts",
+    )
+    top = rows.agg(F.max("doc_id")).first()[0] or 0
+    # Few texts, as a rule; the table is stored, so the planner knows whether to broadcast it.
+    return rows.join(others, ["doc_id", "digest"], "left").withColumn(
+        "node", F.coalesce(F.col("number") + F.lit(top + 1), "doc_id")
+    )
+
+
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the smallest doc_id stays, once.
+    """Of each group of linked documents the text with the smallest doc_id stays, once.
 
-    Documents without a doc_id, which link with nothing, all stay.
+    Documents without a doc_id, which link with nothing, all stay. Rows of one doc_id with
+    different texts are different documents; of rows that have a text and doc_id in common
+    the one with the smallest hash stays.
     """
-    groups = ngram_join.jaccard_components(docs)
-    first = groups.where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.where("doc_id is not null").join(first, "doc_id", "left_semi")
-    unnamed = docs.where("doc_id is null")
-    return named.dropDuplicates(["doc_id"]).select(docs.columns).unionByName(unnamed)
+    placed = _by_text(_bundled(docs).where("doc_id is not null"))
+    groups = ngram_join.jaccard_components(placed.select(F.col("node").alias("doc_id"), "text"))
+    first = groups.where("doc_id = component_id").select(F.col("doc_id").alias("node")).distinct()
+    kept = (
+        placed.select("node", "row", F.struct("hash1", "hash2").alias("order"))
+        .join(first, "node", "left_semi")
+        .groupBy("node")
+        .agg(F.min_by("row", "order").alias("row"))
+        .select("row.*")
+    )
+    return kept.unionByName(docs.where("doc_id is null"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """As many copies of each document as the mix takes; rows that repeat are counted together."""
+    """Each row as often as the mix takes it.
+
+    Rows of equal doc_id, source and text share their copies by the number of rows, as
+    evenly as whole copies go, whatever their other columns hold.
+    """
+    keys, whole = ["key1", "key2"], ["hash1", "hash2"]
+    parts = ("doc_id", "source", "digest")
 
     def keyed(df: DataFrame) -> DataFrame:
-        parts = ("doc_id", "source", "digest")
-        return df.withColumns(
-            {"_k1": F.xxhash64(*parts), "_k2": F.xxhash64(F.lit(1), *parts)}
-        ).drop("digest")
+        return df.withColumns({"key1": F.xxhash64(*parts), "key2": F.xxhash64(F.lit(1), *parts)})
 
     copies = (
-        keyed(mixing.mix_sources(docs)).groupBy("_k1", "_k2").agg(F.sum("copies").alias("_copies"))
+        keyed(mixing.mix_sources(docs)).groupBy(*keys).agg(F.sum("copies").alias("copies"))
+    )
+    rows = keyed(_bundled(docs)).select("row", *keys, *whole)
+    alike = Window.partitionBy(*keys)
+    upto = alike.orderBy(*whole).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # Rows equal in every column are counted before they meet; texts take no part in this.
+    shares = (
+        rows.groupBy(*keys, *whole).agg(F.count(F.lit(1)).alias("n"))
+        .join(copies.where("copies > 0"), keys)
+        .withColumns({"upto": F.sum("n").over(upto), "rows": F.sum("n").over(alike)})
+        .withColumn("mine", F.expr("copies * upto div rows - copies * (upto - n) div rows"))
+        .where("mine > 0")
+        .select(*keys, *whole, "mine")
     )
-    rows = keyed(docs.withColumn("digest", F.xxhash64("text"))).dropDuplicates(["_k1", "_k2"])
-    taken = rows.join(copies.where("_copies > 0"), ["_k1", "_k2"])
-    each = F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))).alias("_copy")
-    return taken.select(*docs.columns, each).drop("_copy")
+    taken = rows.dropDuplicates([*keys, *whole]).join(shares, [*keys, *whole])
+    each = F.explode(F.sequence(F.lit(1), F.col("mine").cast("int"))).alias("copy")
+    return taken.select("row", each).select("row.*")
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
