@@ -497,4 +497,5 @@ FROM ed""",
     "stream_window_revenue": _windows("minute"),
     "stream_window_table": _windows("minute"),
     "stream_both": STATE,
+    "stream_fold_store": STATE,
 }

@@ -18,7 +18,7 @@ from bazaargraph.sources import events as messages
 from bazaargraph.schemas import raw_edges_schema
 from bazaargraph.sources import sinks, warehouse
 from bazaargraph.sources.rawlog import RawLog
-from bazaargraph.streaming import streams
+from bazaargraph.streaming import fold_store, streams
 from bazaargraph.streaming.bucketed import BucketedGraphState
 from bazaargraph.streaming.state import GraphState
 from bazaargraph.streaming.window_table import WindowTable
@@ -646,6 +646,22 @@ def stream_window_revenue(spark, sf_dir):
     return _zoneless(streams.read_windows(spark, path))
 
 
+@query
+def stream_fold_store(spark, sf_dir):
+    """The events as a stream folded in Spark's state store, started twice."""
+    log = warehouse.table(spark, sf_dir, "events")
+    sent, checkpoint = scratch_path(spark, "events"), scratch_path(spark, "checkpoint")
+    for half in (0, 1):
+        part = log.where(F.pmod(F.col("event_id"), F.lit(2)) == half)
+        part.repartition(3).write.mode("append").parquet(sent)
+        arriving = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 2)
+        events = warehouse.from_log(arriving.parquet(sent)).withColumn(
+            "timestamp", F.col("timestamp").cast("timestamp")
+        )
+        fold_store.start_fold_stream(events, checkpoint, triggers=NOW).awaitTermination()
+    return _zoneless(fold_store.read_fold(spark, checkpoint))
+
+
 @query
 def stream_window_table(spark, sf_dir):
     """The events in order of time, an empty file and rows without time among them, as a
