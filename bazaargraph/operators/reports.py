@@ -40,12 +40,11 @@ def action_mix(
 def catalogue_conflicts(events: DataFrame) -> DataFrame:
     """Products with more than one category, seller or price.
 
-    Equal offers are merged first, so a busy product shrinks to its few
-    different offers before anything is counted.
+    Spark sees each value of a column apart and drops repeated ones in a partial step, so
+    a busy product shrinks to its few different values before they are shuffled.
     """
-    offers = events.select("product_id", "product_cat", "seller_id", "price").distinct()
     return (
-        offers.groupBy("product_id")
+        events.groupBy("product_id")
         .agg(
             F.count_distinct("product_cat").alias("nb_categories"),
             F.count_distinct("seller_id").alias("nb_sellers"),
