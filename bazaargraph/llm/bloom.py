@@ -1,81 +1,43 @@
-"""Bloom filters of ids, to leave most unwanted rows out before a shuffle.
+"""A Bloom filter of ids as a join, to leave most unwanted rows out before a shuffle.
 
-A filter says "perhaps" for every id it was made from and for few others, so an exact join
-must follow; it only has less to move. It is split in segments that Spark fills, each from
-its own ids. ``BITS`` for each id are taken up to ``MOST_BYTES`` in all; beyond that, more
-ids than necessary pass, none is lost. The filter is brought to the driver and broadcast.
+The filter is a table of 64-bit words, each with the bits of the ids that hash there. Rows
+are joined with it by word, as a broadcast, and kept if their bit is set: all rows of the
+ids that it was made from, and about one in ``BITS`` of the others. An exact join must
+follow; it only has less to move. ``BITS`` for each id are taken up to ``MOST_WORDS`` words
+in all, which bounds the broadcast; with more ids, more others pass, and none is lost.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BITS = 12  # for each id
-HASHES = 6
-SEGMENT = 1 << 15  # bytes
-MOST_BYTES = 1 << 26
+from bazaargraph.workspace import cut
 
-_PLACES = np.uint64(8 * SEGMENT - 1)
-
-
-def _places(hashes: np.ndarray) -> np.ndarray:
-    """The bits of each hash within its segment, a column for each of ``HASHES``."""
-    h = hashes.view(np.uint64)
-    step = (h >> np.uint64(20)) | np.uint64(1)
-    return (h[:, None] + np.arange(HASHES, dtype=np.uint64) * step[:, None]) & _PLACES
-
-
-def _fill(rows: pd.DataFrame) -> pd.DataFrame:
-    bits = np.zeros(8 * SEGMENT, bool)
-    bits[_places(rows["h"].to_numpy(np.int64)).ravel()] = True
-    return pd.DataFrame({"segment": rows["segment"].iloc[:1], "bits": [np.packbits(bits).tobytes()]})
-
-
-def _segment(h: Column, segments: int) -> Column:
-    return F.pmod(F.shiftrightunsigned(h, 40), F.lit(segments))
+BITS = 16  # for each id
+MOST_WORDS = 1 << 20
 
 
 class Bloom:
     def __init__(self, ids: DataFrame, column: str) -> None:
         """From a stored table of ids; its rows are counted first."""
-        wanted = -(-ids.count() * BITS // (8 * SEGMENT))
-        self.segments = max(1, min(wanted, MOST_BYTES // SEGMENT))
-        filled = (
-            ids.select(F.xxhash64(column).alias("h"))
-            .withColumn("segment", _segment(F.col("h"), self.segments))
-            .groupBy("segment")
-            .applyInPandas(_fill, "segment long, bits binary")
-            .toPandas()
+        self.words = max(1, min(-(-ids.count() * BITS // 64), MOST_WORDS))
+        word, bit = self._place(column)
+        self.table = cut(
+            ids.select(word.alias("_word"), bit.alias("_bit"))
+            .groupBy("_word")
+            .agg(F.bit_or(F.expr("shiftleft(1L, _bit)")).alias("_mask")),
+            "bloom",
         )
-        table = np.zeros((self.segments, SEGMENT), np.uint8)
-        for segment, bits in zip(filled["segment"], filled["bits"], strict=True):
-            table[segment] = np.frombuffer(bits, np.uint8)
-        self._table = ids.sparkSession.sparkContext.broadcast(table)
-
-    @staticmethod
-    def hash(column: str) -> Column:
-        return F.xxhash64(column)
 
-    def test(self, hashes: np.ndarray) -> np.ndarray:
-        """For hashes of ids: True for all ids of the filter and few others. Runs in tasks."""
-        places = _places(hashes)
-        segment = ((hashes.view(np.uint64) >> np.uint64(40)) % np.uint64(self.segments)).astype(np.int64)
-        byte = self._table.value[segment[:, None], (places >> np.uint64(3)).astype(np.int64)]
-        bit = (byte >> (np.uint64(7) - (places & np.uint64(7))).astype(np.uint8)) & 1
-        return bit.all(axis=1)
+    def _place(self, column: str) -> tuple[Column, Column]:
+        place = F.pmod(F.xxhash64(column), F.lit(64 * self.words))
+        return F.floor(place / 64).cast("long"), (place % 64).cast("int")
 
     def only(self, df: DataFrame, column: str) -> DataFrame:
-        """The rows of ``df`` that may be wanted."""
-
-        test, columns = self.test, df.columns
-
-        def run(batches):
-            for batch in batches:
-                keep = test(batch.column(batch.num_columns - 1).to_numpy())
-                yield batch.select(columns).filter(pa.array(keep))
-
-        return df.withColumn("_hash", self.hash(column)).mapInArrow(run, df.schema)
+        """The rows of ``df`` whose id may be one of the filter's; a NULL id may be one if
+        the filter has one."""
+        word, bit = self._place(column)
+        placed = df.withColumns({"_word": word, "_bit": bit})
+        met = placed.join(F.broadcast(self.table), "_word")
+        return met.where(F.getbit("_mask", "_bit") == 1).select(df.columns)

@@ -216,8 +216,8 @@ def _digests(batches):
             )
 
 
-def _prefixes(heavy, buckets: int, wanted: Bloom):
-    """Prefix tokens of the documents wanted, and perhaps of others, packed by bucket.
+def _prefixes(heavy, buckets: int):
+    """Prefix tokens of all documents, packed by bucket.
 
     Frequent tokens, of which nothing can be dropped, are dealt to buckets below 0 by
     document.
@@ -227,7 +227,6 @@ def _prefixes(heavy, buckets: int, wanted: Bloom):
         hasher = WordHasher()
         for batch in batches:
             found: list[tuple[np.ndarray, ...]] = []
-            batch = batch.filter(pa.array(wanted.test(batch.column(2).to_numpy())))
             for ids, texts in _texts(batch):
                 sets = shingle_sets(texts, hasher)
                 for doc_id, tokens in zip(ids.to_pylist(), sets, strict=True):
@@ -515,8 +514,8 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     heavy = docs.sparkSession.sparkContext.broadcast(tuple(heavy))  # 2 * HEAVY_MAX at most
     entry = "token long, doc long, place int, df long"
     shared = (
-        docs.withColumn("hash", Bloom.hash("doc_id"))
-        .mapInArrow(_prefixes(heavy, buckets, Bloom(classes, "rep")), _PACKED)
+        Bloom(classes, "rep").only(docs, "doc_id")
+        .mapInArrow(_prefixes(heavy, buckets), _PACKED)
         .groupBy("bucket")
         .applyInPandas(_shared_in_bucket(heavy, buckets), entry)
         .join(sizes.select("doc"), "doc", "left_semi")

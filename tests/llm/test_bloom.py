@@ -8,12 +8,13 @@ from pyspark.sql import functions as F
 from bazaargraph.llm import bloom
 
 
-@pytest.mark.parametrize(("most", "passing"), [(bloom.MOST_BYTES, 0.02), (bloom.SEGMENT, 1.0)])
+@pytest.mark.parametrize(("most", "passing"), [(bloom.MOST_WORDS, 0.08), (10, 1.0)])
 def test_no_id_is_lost(spark, monkeypatch, most, passing):
-    monkeypatch.setattr(bloom, "MOST_BYTES", most)
+    monkeypatch.setattr(bloom, "MOST_WORDS", most)
     ids = spark.range(0, 300_000, 3).withColumnRenamed("id", "doc")
     found = bloom.Bloom(ids, "doc")
     tested = found.only(spark.range(300_000), "id")
+    assert found.table.count() <= most and tested.columns == ["id"]
     own, others = tested.agg(
         F.count_if(F.col("id") % 3 == 0), F.count_if(F.col("id") % 3 != 0)
     ).first()
