@@ -47,13 +47,13 @@ def role_name(rank: Column) -> Column:
     return F.element_at(F.array(*(F.lit(role) for role in ROLES)), rank + 1)
 
 
-def strongest_first() -> list[Column]:
-    """Order of every edge ranking; source and target settle ties."""
+def strongest_first(of: str = "") -> list[Column]:
+    """Order of every edge ranking; source and target settle ties. ``of`` is a prefix."""
     return [
-        F.col("score").desc(),
-        F.col("last_interaction").desc_nulls_last(),
-        F.col("src"),
-        F.col("dst"),
+        F.col(f"{of}score").desc(),
+        F.col(f"{of}last_interaction").desc_nulls_last(),
+        F.col(f"{of}src"),
+        F.col(f"{of}dst"),
     ]
 
 

@@ -59,17 +59,17 @@ def _any(masks: list[Column]) -> Column:
     return reduce(or_, (m != 0 for m in masks))
 
 
-def _ends(direction: str) -> list[tuple[str, str]]:
+def ways(direction: str) -> list[tuple[str, str]]:
     """(near end, far end) of an edge, for each way it may be walked."""
-    ways = {"out": [("src", "dst")], "in": [("dst", "src")]}
-    return ways["out"] + ways["in"] if direction == "both" else ways[direction]
+    known = {"out": [("src", "dst")], "in": [("dst", "src")]}
+    return known["out"] + known["in"] if direction == "both" else known[direction]
 
 
 def _arrived(near: DataFrame, pairs: DataFrame, direction: str) -> DataFrame:
     """Masks at the far ends of all edges at the near nodes."""
     steps = [
         pairs.join(near, F.col(close) == F.col("id")).select(F.col(far).alias("id"), "_block", *MASKS)
-        for close, far in _ends(direction)
+        for close, far in ways(direction)
     ]
     return merged(reduce(DataFrame.unionByName, steps), "id", "_block")
 
@@ -99,7 +99,7 @@ def masked_edges(seen: DataFrame, edges: DataFrame, direction: str) -> DataFrame
     columns = [f"`{c}`" for c in edges.columns]
     at = [
         edges.join(seen, F.col(close) == F.col("id")).select(*columns, "_block", *MASKS)
-        for close, _ in _ends(direction)
+        for close, _ in ways(direction)
     ]
     if len(at) == 1:
         return at[0]

@@ -24,6 +24,7 @@ from bazaargraph.functions.columns import strongest_first
 from bazaargraph.operators import many
 from bazaargraph.operators.lookup import endpoint_ids, vertices_of
 from bazaargraph.operators.rank import top_edges, top_per_group
+from bazaargraph.operators.strongest import strongest_within
 from bazaargraph.workspace import ROW_OVERHEAD, cut, fits_broadcast, measure
 
 Direction = Literal["both", "out", "in"]
@@ -283,6 +284,10 @@ def _incident_per_seed(near: DataFrame, edges: DataFrame, direction: Direction)
     return at_src.select(columns).unionByName(at_dst.select(columns))
 
 
+def _more_than(n: int, ids: DataFrame) -> bool:
+    return ids.distinct().limit(n + 1).count() > n
+
+
 def ego_per_seed(
     seeds: DataFrame,
     edges: DataFrame,
@@ -291,16 +296,20 @@ def ego_per_seed(
     min_score: float | None = None,
     direction: Direction = "both",
     max_edges: int | None = None,
-) -> tuple[DataFrame, DataFrame]:
+    with_vertices: bool = True,
+) -> tuple[DataFrame, DataFrame | None]:
     """The ego graph of every seed in one job, marked by ``seed_id``.
 
     Seeds without a vertex row give nothing, as for a single node. The result is
     as large as all the single ego graphs together; over several hops the walk itself
-    carries a bit for each seed and node. ``max_edges`` applies to each seed.
+    carries a bit for each seed and node. ``max_edges`` applies to each seed; for many
+    seeds its edges are found without the walk, at a cost of ``max_edges`` rows for each
+    edge and hop. Then only the vertices need the walk, and are None if not wanted.
     """
     _check(direction)
     start = vertices_of(vertices, seeds.select("id").distinct()).select("id")
     pool = strong_enough(edges, min_score)
+    capped = False
     if hops <= 0:
         found = edges.limit(0).select(F.lit("").alias("seed_id"), "*")
         reached = start.select(F.col("id").alias("seed_id"), "id")
@@ -310,15 +319,23 @@ def ego_per_seed(
         ends = found.select("seed_id", F.explode(F.array("src", "dst")).alias("id"))
         reached = ends.union(near).distinct()
     else:
+        capped = max_edges is not None and _more_than(2 * hops * max_edges, start)
+        if capped:
+            found = strongest_within(start, pool, hops, max_edges, direction)
+            if not with_vertices:
+                return found, None
         numbered = many.number_seeds(start)
         seen = many.reach(numbered, pool.select("src", "dst"), hops - 1, direction)
         masked = many.masked_edges(seen, pool, direction)
-        found = many.per_seed(masked, numbered)
         ends = masked.select(F.explode(F.array("src", "dst")).alias("id"), "_block", *many.MASKS)
         nodes = many.merged(ends.unionByName(seen), "id", "_block")
         reached = many.per_seed(nodes, numbered)
-    if max_edges is not None:
+        if not capped:
+            found = many.per_seed(masked, numbered)
+    if max_edges is not None and not capped:
         found = top_per_group(
             found, ["seed_id"], strongest_first(), max_edges, spread=["src", "dst"]
         )
+    if not with_vertices:
+        return found, None
     return found, reached.join(vertices, "id").select("seed_id", *vertices.columns)

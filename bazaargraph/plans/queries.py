@@ -286,7 +286,10 @@ def multi_seed_ego_h2(spark, sf_dir):
 def multi_seed_ego_h2_best(spark, sf_dir):
     """Two hops around every vertex, the strongest edge of each."""
     edges, vertices = _stored(spark, sf_dir)
-    return _zoneless(traverse.ego_per_seed(vertices, edges, vertices, hops=2, max_edges=1)[0])
+    found, _ = traverse.ego_per_seed(
+        vertices, edges, vertices, hops=2, max_edges=1, with_vertices=False
+    )
+    return _zoneless(found)
 
 
 def _context(name, what, strongest=True, **arguments):
