@@ -7,6 +7,8 @@ the graph first, as a running system would, and read the stored state.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import add
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +38,8 @@ PREFIX = " PROD_1"
 REPLAY_AFTER = 19737
 # Single steps of a walk start at the ends of this many best edges.
 START_EDGES = 10
+# Files for a stream hold about this much text each; a task writes one.
+FILE_BYTES = 64 * 1024 * 1024
 
 
 def query(run: Query) -> Query:
@@ -86,6 +90,13 @@ def _json_messages(events: DataFrame) -> DataFrame:
     return body.select(F.to_json(F.struct("*")).alias("value"))
 
 
+def _files(rows: DataFrame, least: int) -> int:
+    """Number of files of ``FILE_BYTES`` that the rows fill as text, but no fewer than ``least``."""
+    lengths = (F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in rows.columns)
+    size = rows.agg(F.sum(reduce(add, lengths).cast("long"))).first()[0] or 0
+    return max(least, -(-size // FILE_BYTES))
+
+
 # -- sources and decoding -------------------------------------------------
 
 
@@ -618,9 +629,9 @@ def rebuilt_state(spark, sf_dir):
 def stream_graph_state(spark, sf_dir):
     """JSON files streamed in several epochs into stored state, with snapshots."""
     sent = scratch_path(spark, "messages")
-    files = max(8, spark.sparkContext.defaultParallelism)
-    events = warehouse.graph_events(spark, sf_dir).repartition(files)
-    _json_messages(events).write.text(sent)
+    events = warehouse.graph_events(spark, sf_dir)
+    files = _files(_json_messages(events), max(8, spark.sparkContext.defaultParallelism))
+    _json_messages(events.repartition(files)).write.text(sent)
 
     state = GraphState(spark, scratch_path(spark, "state"), snapshot_every=2).open()
     stream = streams.start_graph_stream(
@@ -656,8 +667,10 @@ def stream_fold_store(spark, sf_dir):
     sent, checkpoint = scratch_path(spark, "events"), scratch_path(spark, "checkpoint")
     for half in (0, 1):
         part = log.where(F.pmod(F.col("event_id"), F.lit(2)) == half)
-        part.repartition(3).write.mode("append").parquet(sent)
-        arriving = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 2)
+        files = _files(part, 3)
+        part.repartition(files).write.mode("append").parquet(sent)
+        arriving = spark.readStream.schema(log.schema)
+        arriving = arriving.option("maxFilesPerTrigger", -(-2 * files // 3))
         events = warehouse.from_log(arriving.parquet(sent)).withColumn(
             "timestamp", F.col("timestamp").cast("timestamp")
         )
@@ -671,10 +684,12 @@ def stream_window_table(spark, sf_dir):
     stream of several batches; closed windows and open ones together."""
     log = warehouse.table(spark, sf_dir, "events")
     sent = scratch_path(spark, "events")
-    log.repartitionByRange(6, "ts").sortWithinPartitions("ts").write.parquet(sent)
+    files = _files(log, 6)
+    log.repartitionByRange(files, "ts").sortWithinPartitions("ts").write.parquet(sent)
     untimed = log.withColumn("ts", F.lit(None).cast("timestamp_ntz"))
     untimed.unionByName(log.limit(0)).write.mode("append").parquet(sent)
-    arriving = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 2).parquet(sent)
+    arriving = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", -(-files // 3))
+    arriving = arriving.parquet(sent)
     events = warehouse.from_log(arriving).withColumn(
         "timestamp", F.col("timestamp").cast("timestamp")
     )
@@ -690,18 +705,20 @@ def stream_window_table(spark, sf_dir):
 @query
 def stream_both(spark, sf_dir):
     """Both streams from one folder of messages, malformed ones among them, run twice: the
-    second start goes on from the checkpoints and reopens the stored state."""
+    second start goes on from the checkpoints and reopens the stored state. Each run takes
+    its half in two batches, of as many files as it fills."""
     events = warehouse.graph_events(spark, sf_dir)
     sent, root = scratch_path(spark, "messages"), scratch_path(spark, "streams")
     texts = warehouse.table(spark, sf_dir, "documents").selectExpr("text AS value")
     for half in (0, 1):
         part = events.where(F.pmod(_day(), F.lit(2)) == half)
         messages_of_half = _json_messages(part).unionByName(texts)
-        messages_of_half.repartition(2).write.mode("append").text(sent)
+        files = _files(messages_of_half, 2)
+        messages_of_half.repartition(files).write.mode("append").text(sent)
         state = BucketedGraphState(spark, f"{root}/state", snapshot_every=2).open()
         table = WindowTable(spark, f"{root}/windows")
         for stream in streams.start_streams(
-            spark, f"{root}/checkpoints", messages.ndjson_stream(spark, sent, 1),
+            spark, f"{root}/checkpoints", messages.ndjson_stream(spark, sent, -(-files // 2)),
             on_graph=state.apply_batch, await_termination=False, windows_path=table,
             quarantine_path=f"{root}/quarantine", triggers=NOW,
         ):
