@@ -285,7 +285,7 @@ def _incident_per_seed(near: DataFrame, edges: DataFrame, direction: Direction)
 
 
 def _more_than(n: int, ids: DataFrame) -> bool:
-    return ids.distinct().limit(n + 1).count() > n
+    return ids.distinct().limit(max(n, 0) + 1).count() > n
 
 
 def ego_per_seed(

@@ -3,8 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from bazaargraph.operators import lookup, many, rank, strongest, traverse
 from bazaargraph.functions.columns import strongest_first
+from bazaargraph.operators import lookup, many, rank, strongest, traverse
 from fixtures import at, rows
 
 EDGE = "src string, dst string, score double, last_interaction timestamp, AIME long"
@@ -48,6 +48,12 @@ def test_only_given_seeds_and_any_join(spark, edges, join, monkeypatch):
     assert rows(found) == rows(by_walk(seeds, edges, 3, 2, "both"))
 
 
+def test_negative_cap_is_an_error(spark, edges):
+    vertices = lookup.endpoint_ids(edges).withColumn("type", F.lit("t"))
+    with pytest.raises(ValueError, match="negative"):
+        traverse.ego_per_seed(vertices, edges, vertices, hops=2, max_edges=-1)
+
+
 def test_best_of_many_seeds_makes_no_pairs(spark, monkeypatch):
     """A dense graph, in which each seed sees all edges: no walk, one row a node in storage."""
     edges = spark.range(40 * 30).selectExpr(
